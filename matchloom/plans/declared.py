@@ -174,10 +174,11 @@ def winner_mismatches(maps: DataFrame, matches: DataFrame) -> DataFrame:
 def incremental_fact(fact: DataFrame, candidates: DataFrame, keys: Sequence[str], watermark: str) -> DataFrame:
     """Fact after merging the candidates newer than its own newest row.
 
-    The watermark is one aggregated row, joined rather than collected.
+    The watermark is a scalar subquery, so nothing passes through the driver.
+    An empty fact has none and takes every candidate.
     """
-    high = fact.agg(F.max(watermark).alias("_high"))
-    newer = candidates.join(high, (F.col(watermark) > F.col("_high")) | F.col("_high").isNull()).drop("_high")
+    high = fact.agg(F.max(watermark)).scalar()
+    newer = candidates.filter(F.coalesce(F.col(watermark) > high, F.lit(True)))
     return upsert(fact, newer, keys, ordinal=[F.col(watermark)])
 
 
