@@ -10,7 +10,7 @@ from matchloom.functions import cells, dates, text
 from matchloom.operators import lifecycle as lc
 from matchloom.operators import pages as pg
 from matchloom.operators.quality import split_errors
-from matchloom.plans import models as m
+from matchloom.session import spread
 from matchloom.sources import adapter, render
 from matchloom.sources.tables import raw_table
 
@@ -174,7 +174,7 @@ def _(spark, sf):
 
 
 def _parsed_matches(spark, sf):
-    return pg.parse_match_pages(render.match_pages(adapter.matches(spark, sf)), _now())
+    return pg.parse_match_pages(render.match_pages(spread(adapter.matches(spark, sf), "match_id")), _now())
 
 
 @query("match_pages", f"""
@@ -213,8 +213,8 @@ def _(spark, sf):
 
 
 def _parsed_maps(spark, sf):
-    return pg.parse_map_pages(
-        render.map_pages(enriched(spark, sf), m.stg_maps(adapter.maps(spark, sf))), _now())
+    rows = spread(enriched(spark, sf), "map_id", "player_id")
+    return pg.parse_map_pages(render.map_pages(rows), _now())
 
 
 @query("map_pages_players", f"""

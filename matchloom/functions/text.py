@@ -35,8 +35,13 @@ def header_key(text: Column) -> Column:
     return F.regexp_replace(F.lower(text), r"[^a-z0-9.]", "")
 
 
+# The characters that count as white space.
+BLANKS = (" \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
+          "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000")
+
+
 def strip(text: Column) -> Column:
-    return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
+    return F.btrim(text, F.lit(BLANKS))
 
 
 def best_of(text: Column) -> Column:

@@ -13,7 +13,7 @@ from html.parser import HTMLParser
 
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
@@ -23,71 +23,75 @@ from matchloom.functions.text import strip
 # Elements that never have content, and ones whose text is not shown.
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 SILENT = {"script", "style", "template"}
-ATTRIBUTES = {"href": "href", "data-unix": "unix", "data-demo-link": "demo"}
 
 NODE = T.StructType([
     T.StructField("i", T.IntegerType()), T.StructField("end", T.IntegerType()), T.StructField("up", T.IntegerType()),
     T.StructField("tag", T.StringType()), T.StructField("classes", T.ArrayType(T.StringType())),
     *[T.StructField(name, T.StringType()) for name in ("text", "href", "unix", "demo")]])
-_ARROW = to_arrow_type(T.ArrayType(NODE))
+_FIELDS = [to_arrow_type(f.dataType) for f in NODE.fields]
 
 # Executors get the walker with the job; they need not have this package installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
 class _Outliner(HTMLParser):
+    """Appends one row per node of a page: i, end, up, tag, classes, text, href, unix, demo."""
+
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.nodes: list[dict] = []
-        self.open: list[dict] = []
+        self.rows: list[list] = []
+        self.open: list[int] = []
+        self.start = 0
+
+    def page(self, html: str) -> None:
+        self.start, self.open = len(self.rows), []
+        self.reset()
+        self.feed(html)
+        self.close()
+        for at in self.open:
+            self.rows[at][1] = len(self.rows) - self.start
 
-    def _add(self, tag: str | None, **fields: object) -> dict:
-        at = len(self.nodes)
-        node = {"i": at, "end": at + 1, "up": self.open[-1]["i"] if self.open else -1, "tag": tag, **fields}
-        self.nodes.append(node)
-        return node
+    def _add(self, *fields: object) -> int:
+        at = len(self.rows) - self.start
+        self.rows.append([at, at + 1, self.open[-1] - self.start if self.open else -1, *fields])
+        return at + self.start
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
         # The first of a repeated attribute wins.
         given = {name: value or "" for name, value in reversed(attrs)}
-        named = {ATTRIBUTES[name]: value for name, value in given.items() if name in ATTRIBUTES}
-        node = self._add(tag, classes=given.get("class", "").split(), **named)
+        at = self._add(tag, given.get("class", "").split(), None, given.get("href"), given.get("data-unix"),
+                       given.get("data-demo-link"))
         if tag not in VOID:
-            self.open.append(node)
+            self.open.append(at)
 
     def handle_startendtag(self, tag: str, attrs: list) -> None:
         self.handle_starttag(tag, attrs)
         self.handle_endtag(tag)
 
     def handle_endtag(self, tag: str) -> None:
-        if any(node["tag"] == tag for node in self.open):
+        if any(self.rows[at][3] == tag for at in self.open):
             while True:
-                node = self.open.pop()
-                node["end"] = len(self.nodes)
-                if node["tag"] == tag:
+                row = self.rows[self.open.pop()]
+                row[1] = len(self.rows) - self.start
+                if row[3] == tag:
                     break
 
     def handle_data(self, text: str) -> None:
-        if not (self.open and self.open[-1]["tag"] in SILENT):
-            self._add(None, text=text)
-
-    def finish(self) -> list[dict]:
-        self.close()
-        for node in self.open:
-            node["end"] = len(self.nodes)
-        return self.nodes
-
-
-def _outline_page(html: str | None) -> list[dict]:
-    outliner = _Outliner()
-    outliner.feed(html or "")
-    return outliner.finish()
+        if not (self.open and self.rows[self.open[-1]][3] in SILENT):
+            self._add(None, None, text, None, None, None)
 
 
 @F.arrow_udf(T.ArrayType(NODE))
 def outline(html: pa.Array) -> pa.Array:
     """Nodes of each page, in document order."""
-    return pa.array([_outline_page(page) for page in html.to_pylist()], type=_ARROW)
+    walker, ends = _Outliner(), [0]
+    for page in html.to_pylist():
+        walker.page(page or "")
+        ends.append(len(walker.rows))
+    columns = zip(*walker.rows) if walker.rows else [()] * len(NODE)
+    fields = [pa.array(values, type=kind) for values, kind in zip(columns, _FIELDS)]
+    nodes = pa.StructArray.from_arrays(fields, names=NODE.names)
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), nodes)
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -95,10 +99,24 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def staged(df: DataFrame, *columns: Column | str) -> DataFrame:
+    """Select whose results are worked out once, whatever later steps do with them.
+
+    A plain select would be merged into the steps above it, and a filter pushed
+    below it would work its expressions out again.
+    """
+    return df.select(F.inline(F.array(F.struct(*columns))))
+
+
 def inside(nodes: Column, node: Column) -> Column:
-    """Nodes below ``node``; none when there is no such node."""
-    return let(node, lambda top: F.filter(
-        nodes, lambda n: (n["i"] > top["i"]) & (n["i"] < top["end"])))
+    """Nodes below ``node``; none when there is no such node.
+
+    ``nodes`` is a whole page or itself the inside of a node, so the answer is
+    one slice of it.
+    """
+    found = let(node, lambda top: F.slice(
+        nodes, top["i"] + 2 - first(nodes)["i"], top["end"] - top["i"] - 1))
+    return F.coalesce(found, F.slice(nodes, 1, 0))
 
 
 def select(nodes: Column, tag: str | Sequence[str], *classes: str) -> Column:

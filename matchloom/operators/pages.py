@@ -1,8 +1,8 @@
 """Page jobs: triage, link discovery, match pages and map pages to typed rows.
 
 A page is one row, and everything read from it stays in that row until the
-final ``explode``; no job here shuffles. Intermediate columns are staged with
-``withColumns`` so that each is worked out once.
+final ``explode``; no job here shuffles. Steps go through ``markup.staged`` so
+that each column is worked out once.
 """
 
 from __future__ import annotations
@@ -49,7 +49,8 @@ def triage(pages: DataFrame, tag: str = "div", css_class: str = "match-info-box"
 
 def outlined(pages: DataFrame) -> DataFrame:
     """Pages with their nodes; the raw page is not carried further."""
-    return pages.withColumn("nodes", k.outline("html")).drop("html")
+    kept = [c for c in pages.columns if c != "html"]
+    return pages.select(*kept, k.outline("html").alias("nodes"))
 
 
 def page_links(pages: DataFrame) -> DataFrame:
@@ -57,7 +58,8 @@ def page_links(pages: DataFrame) -> DataFrame:
     found = F.transform(
         F.filter(k.select(F.col("nodes"), "a"), lambda a: a["href"].isNotNull()),
         lambda a: F.struct(a["href"].alias("href"), k.text_of(F.col("nodes"), a, " ").alias("link_text")))
-    return outlined(pages).select("page_id", "url", F.posexplode(found).alias("pos", "link")).select(
+    listed = k.staged(outlined(pages), "page_id", "url", found.alias("links"))
+    return listed.select("page_id", "url", F.posexplode("links").alias("pos", "link")).select(
         "page_id", "url", "pos", "link.*")
 
 
@@ -65,21 +67,23 @@ def page_links(pages: DataFrame) -> DataFrame:
 
 def result_links(pages: DataFrame, site: str = SITE) -> DataFrame:
     """Links of each dated section; ``match_date`` is null under an unreadable headline."""
-    nodes, section, body = F.col("nodes"), F.col("part"), F.col("body")
-    parts = outlined(pages).select(
-        "page_id", "nodes", F.posexplode(k.select(nodes, "div", "results-sublist")).alias("section", "part"))
-    bodies = parts.select("page_id", "section", k.inside(nodes, section).alias("body"))
+    nodes, body = F.col("nodes"), F.col("body")
+    listed = k.staged(outlined(pages), "page_id", F.transform(
+        k.select(nodes, "div", "results-sublist"), lambda part: k.inside(nodes, part)).alias("bodies"))
+    bodies = listed.select("page_id", F.posexplode("bodies").alias("section", "body"))
     headline = k.first(k.select(body, "div", "standard-headline"))
     hrefs = F.array_compact(F.transform(
         k.select(body, "div", "result-con"),
         lambda r: k.first(F.filter(k.select(k.inside(body, r), "a"), lambda a: a["href"].isNotNull()))["href"]))
-    dated = bodies.filter(headline.isNotNull()).select(
-        "page_id", "section", k.raw_text_of(body, headline).alias("headline"),
-        F.posexplode(hrefs).alias("pos", "href"))
+    headed = k.staged(bodies, "page_id", "section", headline.isNotNull().alias("headed"),
+                      k.raw_text_of(body, headline).alias("headline"), hrefs.alias("hrefs"))
+    dated = k.staged(headed.filter("headed"), "page_id", "section", "headline", "hrefs",
+                     dates.headline_date(F.col("headline")).alias("match_date"))
+    links = dated.select("page_id", "section", "headline", "match_date", F.posexplode("hrefs").alias("pos", "href"))
     url = F.concat(F.lit(site), F.col("href"))
-    return dated.select(
-        "page_id", "section", "pos", "headline", dates.headline_date(F.col("headline")).alias("match_date"),
-        url.alias("match_url"), text.key_from_url(url, text.MATCH_KEY).alias("match_id"))
+    return links.select(
+        "page_id", "section", "pos", "headline", "match_date", url.alias("match_url"),
+        text.key_from_url(url, text.MATCH_KEY).alias("match_id"))
 
 
 def in_range(links: DataFrame, start: Column, end: Column) -> DataFrame:
@@ -110,8 +114,8 @@ def parse_match_pages(pages: DataFrame, now: Column, site: str = SITE) -> DataFr
     linked = F.filter(k.select(nodes, "a", "results-stats"), lambda a: a["href"].isNotNull())
     demo = k.first(k.select(nodes, "a", "stream-box"))
     demo_url = F.concat(F.lit(site), demo["demo"])
-    raw = outlined(pages).select(
-        F.col("url").alias("match_url"),
+    raw = k.staged(
+        outlined(pages), F.col("url").alias("match_url"),
         F.transform(F.slice(k.select(nodes, "div", "teamName"), 1, 2), lambda n: k.text_of(nodes, n)).alias("teams"),
         score("team1-gradient").alias("score1"), score("team2-gradient").alias("score2"),
         k.raw_text_of(nodes, k.first(k.select_exact(nodes, "div", "event text-ellipsis"))).alias("event"),
@@ -124,11 +128,11 @@ def parse_match_pages(pages: DataFrame, now: Column, site: str = SITE) -> DataFr
         F.when(demo["demo"].isNotNull(), F.array(F.struct(
             text.text_key_from_url(demo_url).alias("demo_id"), demo_url.alias("demo_url"))))
         .otherwise(F.array()).alias("demo_links"))
-    typed = raw.withColumns({
+    typed = k.staged(raw.withColumns({
         "match_id": text.key_from_url(F.col("match_url"), text.MATCH_KEY),
         "team1": F.nullif(F.get("teams", F.lit(0)), F.lit("")), "team2": F.nullif(F.get("teams", F.lit(1)), F.lit("")),
         "match_type": text.best_of(F.col("best_of")),
-        "date": F.date_trunc("day", dates.from_millis(dates.millis_attr(F.col("unix")))).cast("timestamp_ntz")})
+        "date": F.date_trunc("day", dates.from_millis(dates.millis_attr(F.col("unix")))).cast("timestamp_ntz")}), "*")
     bad_link = F.exists("map_links", lambda m: m["map_id"].isNull())
     error = F.coalesce(
         F.when(F.col("match_id").isNull(), "no match id in url"),
@@ -139,8 +143,8 @@ def parse_match_pages(pages: DataFrame, now: Column, site: str = SITE) -> DataFr
         F.when(F.col("map_name") == "", "forfeit status missing"),
         F.when(F.col("date").isNull(), "match date unreadable"),
         F.when(bad_link, "map link without id"))
-    return typed.select(
-        "match_id", "match_url", "map_links", "demo_links", "team1", "team2", "score1", "score2",
+    return k.staged(
+        typed, "match_id", "match_url", "map_links", "demo_links", "team1", "team2", "score1", "score2",
         winner_of(*[F.col(c) for c in ("team1", "team2", "score1", "score2")]).alias("winner"),
         "event", "match_type", text.is_forfeit(F.col("map_name")).alias("forfeit"), "date",
         now.alias("last_inserted_at"), now.alias("last_scraped_at"), now.alias("last_updated_at"),
@@ -179,25 +183,25 @@ def parse_map_pages(pages: DataFrame, now: Column, site: str = SITE) -> DataFram
         F.filter(k.select(nodes, "a"), lambda a: a["href"].contains("/stats/matches/mapstatsid/")),
         lambda a: text.key_from_url(a["href"], text.MAP_KEY))))
 
-    staged = outlined(pages).select(
-        "url", "map_id", "match_id", "map_order", "nodes",
+    found = k.staged(
+        outlined(pages), "url", "map_id", "match_id", "map_order", "nodes",
         text.strip(k.first(named)["text"]).alias("map_name"),
         k.strings(k.inside(nodes, box)).alias("tokens"), tables.alias("tables"), ids.alias("linked_ids"),
         date["unix"].alias("unix"))
     # The page text is needed only where no date attribute is given.
     free_date = dates.text_date(F.array_join(k.strings(nodes), " "))
-    sections = staged.select(
-        "url", "map_id", "match_id", "map_order", "map_name", "tokens", "linked_ids", "unix",
+    sections = k.staged(
+        found, "url", "map_id", "match_id", "map_order", "map_name", "tokens", "linked_ids", "unix",
         F.size("tables").alias("n_tables"),
         F.when(F.col("unix").isNull(), free_date).alias("text_date"),
         F.transform(
             F.filter("tables", lambda t: ~F.array_contains(t["classes"], "hidden")),
             lambda t: k.let(k.inside(nodes, t), _section)).alias("sections"))
-    texts = sections.withColumns({
+    texts = k.staged(sections.withColumns({
         "teams": F.array_distinct(F.filter(
             F.transform("sections", lambda s: s["team"]), lambda t: t != UNKNOWN_TEAM)),
-        "rows": F.flatten(F.transform("sections", lambda s: F.transform(s["rows"], lambda r: _row_texts(s, r))))})
-    typed = texts.withColumns({
+        "rows": F.flatten(F.transform("sections", lambda s: F.transform(s["rows"], lambda r: _row_texts(s, r))))}), "*")
+    typed = k.staged(texts.withColumns({
         "players": F.transform("rows", lambda r: _player(r, site)),
         "team1": F.get("teams", F.lit(0)), "team2": F.get("teams", F.lit(1)),
         "team1_score": _score_after(F.col("tokens"), F.get("teams", F.lit(0))),
@@ -208,7 +212,7 @@ def parse_map_pages(pages: DataFrame, now: Column, site: str = SITE) -> DataFram
             F.nullif(F.array_position("linked_ids", text.key_from_url(F.col("url"), text.MAP_KEY)), F.lit(0))),
         "date": F.when(F.col("unix").isNotNull(), F.date_trunc(
             "second", dates.from_millis(dates.millis_attr(F.col("unix")))).cast("timestamp_ntz"))
-        .otherwise(dates.parse_stamp(F.col("text_date")))})
+        .otherwise(dates.parse_stamp(F.col("text_date")))}), "*")
     row_errors = F.filter(F.transform("players", lambda p: p["error"]), lambda e: e.isNotNull())
     error = F.coalesce(
         F.when(F.col("map_name").isNull(), "map name missing"),
@@ -219,8 +223,8 @@ def parse_map_pages(pages: DataFrame, now: Column, site: str = SITE) -> DataFram
         F.when(F.col("match_id").isNull(), "no parent match id"),
         F.when(F.col("order_found").isNull(), "map order unknown"),
         F.when(F.col("date").isNull(), "map date unreadable"))
-    return typed.select(
-        "map_id", "match_id", F.col("url").alias("map_url"), F.col("order_found").alias("map_order"), "map_name",
+    return k.staged(
+        typed, "map_id", "match_id", F.col("url").alias("map_url"), F.col("order_found").alias("map_order"), "map_name",
         "team1_score", "team2_score",
         winner_of(*[F.col(c) for c in ("team1", "team2", "team1_score", "team2_score")]).alias("map_winner"),
         "date", now.alias("inserted_at"), now.alias("last_scraped_at"), now.alias("last_updated_at"),
@@ -230,11 +234,8 @@ def parse_map_pages(pages: DataFrame, now: Column, site: str = SITE) -> DataFram
 def _section(body: Column) -> Column:
     """Team, header names and rows of cells of one player table."""
     heading = k.first(k.select(body, "th", "st-teamname"))
-    heads = F.filter(body, lambda n: n["tag"] == "thead")
-    headers = F.transform(
-        F.filter(k.select(body, "th"), lambda th: F.exists(
-            heads, lambda h: (th["i"] > h["i"]) & (th["i"] < h["end"]))),
-        lambda th: F.nullif(text.header_key(k.text_of(body, th, " ")), F.lit("")))
+    titles = F.flatten(F.transform(k.select(body, "thead"), lambda head: k.select(k.inside(body, head), "th")))
+    headers = F.transform(titles, lambda th: F.nullif(text.header_key(k.text_of(body, th, " ")), F.lit("")))
     first_body = k.first(k.select(body, "tbody"))
     rows = F.transform(
         k.select(k.inside(body, first_body), "tr"),

@@ -76,3 +76,15 @@ def settle(df: DataFrame, label: str) -> DataFrame:
     path = work_dir(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Hash ``df`` on a unique key over all cores, ahead of a CPU-bound step.
+
+    Rows that are small before such a step would otherwise be packed into a few
+    partitions by their size. Hashing, unlike round robin, gives a retried
+    task the same rows.
+    """
+    spark = df.sparkSession
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 3 * spark.sparkContext.defaultParallelism)
+    return df.repartition(parts, *keys)

@@ -52,14 +52,12 @@ def match_pages(matches: DataFrame) -> DataFrame:
     return matches.select(F.col("match_id").alias("page_id"), F.col("match_url").alias("url"), html.alias("html"))
 
 
-def map_pages(enriched: DataFrame, maps: DataFrame) -> DataFrame:
+def map_pages(enriched: DataFrame) -> DataFrame:
     """One page per player row, with both team tables and the player's own.
 
     Every metric also has a hidden variant in front of the visible cell. A row
     without a rating shows a dash, which no rating can be read from.
     """
-    rows = enriched.join(maps.select("map_id", "map_url"), "map_id")
-
     def cell(css: str, value: Column | str, hidden: str | None = None) -> Column:
         shown = _join(f'<td class="{css} traditional-data">', value, "</td>")
         return F.concat(F.lit(f'<td class="{css} eco-adjusted-data hidden">{hidden}</td>'), shown) if hidden else shown
@@ -67,7 +65,6 @@ def map_pages(enriched: DataFrame, maps: DataFrame) -> DataFrame:
     def pair(main: str, extra: str) -> Column:
         return _join(F.col(main), " (", F.col(extra), ")")
 
-    heads = "<th>{}</th>" * 11
     titles = ["Op. K-D", "MKs", "KAST", "1vsX", "K (hs)", "A (f)", "D (t)", "ADR", "Swing", "Rating 3.0"]
     tail = "".join(f"<th>{t}</th>" for t in titles) + "</tr></thead><tbody>"
 
@@ -86,13 +83,12 @@ def map_pages(enriched: DataFrame, maps: DataFrame) -> DataFrame:
         cell("st-clutches", F.col("clutches_won")), cell("st-kills", pair("kills", "headshots"), "99 (99)"),
         cell("st-assists", pair("assists", "flash_assists")), cell("st-deaths", pair("deaths", "traded_deaths"), "1 (0)"),
         cell("st-adr", F.format_string("%.1f", F.col("adr")), "199.9"), cell("st-roundSwing", swing),
-        cell("st-rating", F.coalesce(F.format_string("%.2f", F.col("rating")), F.lit("-"))), "</tr>")
-    row = F.when(F.col("rating").isNull(), F.regexp_replace(row, r"null</td></tr>$", "-</td></tr>")).otherwise(row)
+        cell("st-rating", F.when(F.col("rating").isNull(), "-").otherwise(F.format_string("%.2f", F.col("rating")))), "</tr>")
     html = _join(
         '<html><body><div class="match-info-box"><div class="date">', F.date_format("map_date", "yyyy-MM-dd HH:mm"),
         '</div><div class="small-text">Map</div> ', F.col("map_name"), ' <a href="/team/1/a">', F.col("team1"),
         "</a><div>", F.col("map_team1_score"), '</div><a href="/team/2/b">', F.col("team2"), "</a><div>",
         F.col("map_team2_score"), "</div><div>Breakdown</div></div>",
         table(heading("team1"), ""), table(heading("team2"), ""), table(heading("team_name"), row), "</body></html>")
-    return rows.select(
-        F.col("map_url").alias("url"), html.alias("html"), "map_id", "match_id", "map_order")
+    url = _join("https://example.test/stats/matches/mapstatsid/", F.col("map_id"), "/x")
+    return enriched.select(url.alias("url"), html.alias("html"), "map_id", "match_id", "map_order")
