@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from matchloom.functions.scalar import winner_of
 from matchloom.operators.latest import latest_by
-from matchloom.schemas import MAPS, MATCHES, PLAYERS
+from matchloom.schemas import MATCHES
 from matchloom.sources.tables import raw_table
 
 SITE = "https://example.test"

@@ -1,0 +1,75 @@
+import random
+
+import pytest
+from test_lifecycle import LOG, STATE, fold, random_log
+
+from matchloom.operators import lifecycle as lc
+from matchloom.streaming import jobs
+from matchloom.streaming.store import Store
+
+
+@pytest.fixture
+def log_folder(spark, tmp_path):
+    """A command log in three files, in time order."""
+    log = random_log(11, 180)
+    folder = str(tmp_path / "log")
+    for part in range(3):
+        chunk = log[part * 60:(part + 1) * 60]
+        random.Random(part).shuffle(chunk)
+        spark.createDataFrame(chunk, LOG).coalesce(1).write.mode("append").parquet(folder)
+    return log, folder
+
+
+def test_stream_replay_equals_batch(spark, rows, tmp_path, log_folder):
+    log, folder = log_folder
+    schema = spark.read.parquet(folder).schema
+    store = Store(spark, str(tmp_path / "store"), {"state": STATE})
+    out = jobs.replay_stream(jobs.file_stream(spark, folder, schema, files_per_batch=1), store)
+    assert store.last_batch() == 2
+    assert rows(out) == fold(log) == rows(lc.apply_log(spark.read.parquet(folder)))
+    # Nothing new: the state stays as it is. New commands: only those are applied.
+    assert rows(jobs.replay_stream(jobs.file_stream(spark, folder, schema), store)) == fold(log)
+    more = random_log(12, 60, first_seq=900)
+    spark.createDataFrame(more, LOG).write.mode("append").parquet(folder)
+    assert rows(jobs.replay_stream(jobs.file_stream(spark, folder, schema), store)) == fold(log + more)
+
+
+def test_unpublished_outputs_stay_invisible(spark, rows, tmp_path):
+    schema = "k int"
+    df = spark.createDataFrame([(1,)], schema)
+    store = Store(spark, str(tmp_path / "store"), {"a": df.schema, "b": df.schema})
+    store.publish(0, {"a": df, "b": df})
+
+    class Boom(Exception):
+        pass
+
+    bad = df.mapInPandas(lambda it: (_ for _ in ()).throw(RuntimeError("boom")), schema)
+    with pytest.raises(Exception):
+        store.publish(1, {"a": spark.createDataFrame([(2,)], schema), "b": bad})
+    assert rows(store.read("a")) == [(1,)] and store.last_batch() == 0
+    store.publish(1, {"a": spark.createDataFrame([(3,)], schema), "b": df})
+    assert rows(store.read("a")) == [(3,)]
+    store.publish(1, {"a": spark.createDataFrame([(4,)], schema)})
+    assert rows(store.read("a")) == [(3,)]
+
+
+def test_upsert_stream_forms_agree(spark, rows, tmp_path):
+    schema = "k int, v string, born int, n int"
+    rng = random.Random(2)
+    data = [(rng.choice([1] * 5 + list(range(10))), rng.choice("abc"), n, n) for n in range(60)]
+    folder = str(tmp_path / "in")
+    for part in range(2):
+        spark.createDataFrame(data[part * 30:part * 30 + 30], schema).coalesce(1).write.mode("append").parquet(folder)
+    read = spark.read.parquet(folder).schema
+    target = spark.createDataFrame([(1, "z", -1), (50, "z", -1)], "k int, v string, born int")
+    from pyspark.sql import functions as F
+    policy, order = {"born": "keep"}, [F.col("n")]
+    merged = jobs.upsert_stream(jobs.file_stream(spark, folder, read), target, str(tmp_path / "m"), ["k"], policy, order)
+    store = Store(spark, str(tmp_path / "s"), {"t": target.schema})
+    store.publish(-1, {"t": target})
+    each = jobs.upsert_batches(jobs.file_stream(spark, folder, read, files_per_batch=1), store, "t", ["k"], policy, order)
+    table = {1: ("z", -1), 50: ("z", -1)}
+    for key, v, born, _n in data:
+        table[key] = (v, table[key][1] if key in table else born)
+    expected = sorted([(key, *value) for key, value in table.items()], key=repr)
+    assert rows(merged) == rows(each) == expected
