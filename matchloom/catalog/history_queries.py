@@ -74,8 +74,10 @@ def _(spark, sf):
     from enriched e join history h on h.player_id = e.player_id
       and h.valid_from <= e.map_date and (h.valid_to > e.map_date or h.valid_to is null)""", "enriched")
 def _(spark, sf):
-    facts = enriched(spark, sf).select("map_id", "player_id", "map_date", "team_name")
-    history = backfilled(spark, sf).withColumnRenamed("team_name", "roster_team")
+    # The fact is a stored table; the history and both passes of the join read it.
+    facts = settle(enriched(spark, sf).select("map_id", "player_id", "map_date", "team_name"), "facts")
+    seen = roster_observations(facts, roster_runs(YEARS))
+    history = scd2.scd2_backfill(seen, "player_id", ["team_name"]).withColumnRenamed("team_name", "roster_team")
     return asof.interval_join(facts, history, ["player_id"], "map_date", ["roster_team"], ["map_id"])
 
 

@@ -161,7 +161,7 @@ def _dates():
       match_id as page_id, 0 as section, 0 as pos from matches
     where match_id % 13 <> 0 and cast(date as date) between date '{_START}' and date '{_END}'""", "matches")
 def _(spark, sf):
-    return pg.discover_links(render.results_pages(adapter.matches(spark, sf)), *_dates())
+    return pg.discover_links(render.results_pages(spread(adapter.matches(spark, sf), "match_id")), *_dates())
 
 
 @query("discovery_cap", f"""
@@ -170,7 +170,7 @@ def _(spark, sf):
     where match_id % 13 <> 0 and cast(date as date) between date '{_START}' and date '{_END}'
     order by match_id limit 50""", "matches")
 def _(spark, sf):
-    return pg.discover_links(render.results_pages(adapter.matches(spark, sf)), *_dates(), limit=50)
+    return pg.discover_links(render.results_pages(spread(adapter.matches(spark, sf), "match_id")), *_dates(), limit=50)
 
 
 def _parsed_matches(spark, sf):

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from matchloom.functions.scalar import clip, preview
+from matchloom.operators.skew import attach
 from matchloom.operators.upsert import upsert
 
 
@@ -199,7 +200,7 @@ def apply_log(log: DataFrame, state: DataFrame | None = None, key: str = "id",
     else:
         known = state.select(key, F.lit(True).alias("_known"))
         births = births.join(known, key, "full_outer").withColumn("_known", F.coalesce("_known", F.lit(False)))
-    live = log.join(births, key).filter(F.col("_known") | (here >= F.col("_born")))
+    live = attach(log, births, [key], F.col("seq")).filter(F.col("_known") | (here >= F.col("_born")))
 
     op = F.col("op")
     born_now = found & ~F.col("_known") & (here == F.col("_born"))
@@ -262,7 +263,9 @@ def apply_log(log: DataFrame, state: DataFrame | None = None, key: str = "id",
 
     basis = rows.select(key, F.col("status").alias("_status"),
                         F.struct(F.col("_set.ts"), F.col("_set.seq")).alias("_set_at"), F.col("_set.ts").alias("_set_ts"))
-    late = live.filter(op == "requeue").select(key, "ts", here.alias("_here"), "expected").join(basis, key)
+    # What precedes the last status cannot matter, and that is never before the birth.
+    asked = log.filter(op == "requeue").select(key, "ts", "seq", here.alias("_here"), "expected")
+    late = attach(asked, basis, [key], F.col("seq"))
     late = late.filter(F.col("_set_ts").isNull() | (F.col("_here") > F.col("_set_at")))
     hits = late.groupBy(key).agg(
         F.min(F.when(F.col("expected") == F.col("_status"), F.col("ts"))).alias("_first_hit"),

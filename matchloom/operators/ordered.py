@@ -1,9 +1,9 @@
 """Previous and most recent values within a key, without one task per key.
 
 A plain window over a key puts the whole key into one task. Here the key is cut
-into buckets that follow the order (a day, a month), the window runs inside a
-bucket, and what a bucket needs from the ones before it comes from one summary
-row per non-empty bucket. Only those summary rows are windowed by key.
+into buckets that follow the order (a day, a month) and the window runs inside
+a bucket. What a bucket needs from the ones before it comes from one or two
+rows per non-empty bucket; only those are windowed by key.
 """
 
 from __future__ import annotations
@@ -18,25 +18,24 @@ def with_previous(df: DataFrame, keys: Sequence[str], order: Sequence[str], buck
                   value: Sequence[str], prefix: str = "prev_") -> DataFrame:
     """Add ``prev_<c>`` of the row before, by ``order`` (total within a key), plus ``prev_seen``.
 
-    ``bucket`` must not decrease along ``order``.
+    ``bucket`` must not decrease along ``order``. Both branches read the same
+    columns, so the one large shuffle, on key and bucket, is done once and used twice.
     """
     keys = list(keys)
-    staged = df.withColumn("_bucket", bucket)
     carried = F.struct(*[F.col(c) for c in value])
     inside = Window.partitionBy(*keys, "_bucket").orderBy(*order)
-    staged = staged.withColumn("_lag", F.lag(carried).over(inside))
-
-    position = F.struct(*[F.col(c) for c in order])
-    tails = (df.select(*keys, bucket.alias("_bucket"), position.alias("_at"), carried.alias("_tail"))
-               .groupBy(*keys, "_bucket").agg(F.max_by("_tail", "_at").alias("_tail")))
-    across = Window.partitionBy(*keys).orderBy("_bucket")
-    before = tails.select(*keys, "_bucket", F.lag("_tail").over(across).alias("_carry"))
-
-    joined = _join_buckets(staged, before, keys)
-    previous = F.coalesce(F.col("_lag"), F.col("_carry"))
-    return joined.select(
-        *df.columns, previous.isNotNull().alias(f"{prefix}seen"),
-        *[previous[c].alias(f"{prefix}{c}") for c in value])
+    staged = df.withColumn("_bucket", bucket).withColumns({
+        "_previous": F.lag(carried).over(inside), "_opens": F.row_number().over(inside) == 1,
+        "_closes": F.lead(F.lit(True)).over(inside).isNull()})
+    edge = F.col("_opens") | F.col("_closes")
+    # At most two rows per bucket: what precedes an opening row is the close of the bucket before.
+    across = Window.partitionBy(*keys).orderBy(*order)
+    edges = staged.filter(edge).withColumn(
+        "_previous", F.when(F.col("_opens"), F.lag(carried).over(across)).otherwise(F.col("_previous")))
+    both = staged.filter(~edge).unionByName(edges)
+    return both.select(
+        *df.columns, F.col("_previous").isNotNull().alias(f"{prefix}seen"),
+        *[F.col("_previous")[c].alias(f"{prefix}{c}") for c in value])
 
 
 def carry_forward(df: DataFrame, keys: Sequence[str], order: Sequence[str], bucket: Column,

@@ -13,6 +13,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from matchloom.operators.skew import attach
+
 
 def unique_failures(df: DataFrame, columns: str | Sequence[str], skip_null: bool = True) -> DataFrame:
     """Key values that occur more than once. Rows with a null key do not compete."""
@@ -32,10 +34,20 @@ def not_null_failures(df: DataFrame, column: str) -> DataFrame:
     return df.filter(F.col(column).isNull())
 
 
+def orphan_keys(child: DataFrame, column: str, parent: DataFrame, field_name: str) -> DataFrame:
+    """Child values without a parent row, with their number of child rows.
+
+    Both sides are reduced to one row per value before they meet.
+    """
+    keys = parent.select(F.col(field_name).alias(column)).filter(F.col(column).isNotNull()).distinct()
+    used = child.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n_records"))
+    return used.join(keys, column, "left_anti")
+
+
 def relationship_failures(child: DataFrame, column: str, parent: DataFrame, field_name: str) -> DataFrame:
     """Child rows whose non-null value has no parent row."""
-    keys = parent.select(F.col(field_name).alias(column)).filter(F.col(column).isNotNull()).distinct()
-    return child.filter(F.col(column).isNotNull()).join(keys, column, "left_anti")
+    orphans = orphan_keys(child, column, parent, field_name).select(column)
+    return attach(child, orphans, [column], F.struct(*child.columns), "left_semi")
 
 
 def check_failures(df: DataFrame, predicate: Column) -> DataFrame:
@@ -98,6 +110,13 @@ def _row_level_counts(df: DataFrame, tests: Sequence[Test]) -> DataFrame:
     return counts.select(F.explode(pairs).alias("r")).select("r.*")
 
 
+def _failure_count(test: Test, tables: Mapping[str, DataFrame]) -> DataFrame:
+    if test.kind == "relationships":
+        orphans = orphan_keys(tables[test.table], test.columns[0], tables[test.parent], test.parent_field)
+        return orphans.agg(F.coalesce(F.sum("n_records"), F.lit(0)).alias("failures"))
+    return failures(test, tables).agg(F.count(F.lit(1)).alias("failures"))
+
+
 def run_suite(tests: Sequence[Test], tables: Mapping[str, DataFrame]) -> DataFrame:
     """Report with test, severity, failures and status (pass, warn or fail)."""
     counted: list[DataFrame] = []
@@ -107,7 +126,7 @@ def run_suite(tests: Sequence[Test], tables: Mapping[str, DataFrame]) -> DataFra
             counted.append(_row_level_counts(tables[table], row_level))
     for test in tests:
         if _row_failure(test) is None:
-            found = failures(test, tables).agg(F.count(F.lit(1)).alias("failures"))
+            found = _failure_count(test, tables)
             counted.append(found.select(F.lit(test.name).alias("test"), "failures"))
     report = reduce(DataFrame.unionByName, counted)
     warns = [t.name for t in tests if t.severity == "warn"]

@@ -19,6 +19,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from matchloom.operators.skew import attach
+
 POLICIES = ("new", "keep", "greatest", "coalesce")
 
 
@@ -86,9 +88,9 @@ def delete_keys(df: DataFrame, keys: DataFrame, on: Sequence[str] | str) -> Data
 
 
 def null_on_delete(df: DataFrame, column: str, gone: DataFrame, field: str) -> DataFrame:
-    """Clear references to deleted parents."""
+    """Clear references to deleted parents, of which many rows may name the same one."""
     lost = gone.select(F.col(field).alias(column)).distinct().withColumn("_gone", F.lit(True))
-    joined = df.join(lost, column, "left")
+    joined = attach(df, lost, [column], F.struct(*[c for c in df.columns if c != column]), "left")
     return joined.select(*[
         F.when(F.col("_gone").isNull(), F.col(c)).alias(c) if c == column else F.col(c) for c in df.columns])
 
@@ -108,7 +110,7 @@ def cascade_delete(tables: Mapping[str, DataFrame], root: str, keys: DataFrame,
         if parent not in gone:
             continue
         if action == "cascade":
-            lost = gone[parent].select(F.col(field).alias(column)).distinct()
+            lost = gone[parent].select(F.col(field).alias(column))
             gone[child] = tables[child].join(lost, column, "left_semi")
             result[child] = delete_keys(result[child], lost, column)
         else:

@@ -9,8 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 # Runtime SQL settings the operators rely on. Joins are never hinted: Spark
 # broadcasts a side only below spark.sql.autoBroadcastJoinThreshold, and a hot
-# key in a shuffled join is split by the AQE skew rule. The force flag keeps
-# that split even when an aggregate on the same key follows the join.
+# key in a join of two fresh shuffles is split by the AQE skew rule. The force
+# flag keeps that split even when an aggregate on the same key follows. Where
+# the rule cannot see a join, operators.skew salts it.
 RUNTIME_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
