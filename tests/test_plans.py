@@ -59,3 +59,27 @@ def test_scans_read_only_what_they_need(spark):
     assert "ReadSchema: struct<o_orderkey:bigint,o_custkey:bigint>" in text
     assert "PushedFilters: [IsNotNull(o_orderdate), LessThan(o_orderdate" in plan(
         adapter.matches(spark, SF).filter("date < timestamp_ntz'1998-01-01 00:00:00'"))
+
+
+def test_adaptive_skew_split_reaches_salted_joins(spark):
+    from pyspark.sql import functions as F
+
+    from matchloom.operators.skew import attach
+    small = {"spark.sql.shuffle.partitions": "40", "spark.sql.autoBroadcastJoinThreshold": "-1",
+             "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "50KB",
+             "spark.sql.adaptive.advisoryPartitionSizeInBytes": "50KB"}
+    before = {key: spark.conf.get(key, None) for key in small}
+    for key, value in small.items():
+        spark.conf.set(key, value)
+    try:
+        log = spark.range(0, 120_000, 1, 8).select(
+            F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 900).alias("k"), "id", F.sha2(F.col("id").cast("string"), 256).alias("v"))
+        first = log.groupBy("k").agg(F.min("id").alias("first"))
+        out = attach(log, first, ["k"], F.col("id"), salts=2).groupBy("k").agg(
+            F.count_if(F.col("id") > F.col("first")).alias("n"), F.max("v").alias("v"))
+        assert out.agg(F.sum("n")).first()[0] == 120_000 - 900
+        out.collect()
+        assert "skew=true" in plan(out)
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
