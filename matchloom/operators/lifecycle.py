@@ -56,13 +56,14 @@ def discovery_rows(items: DataFrame, now: Column, source: Column | str = "unknow
         "first_seen_at": now, "last_seen_at": now, "last_updated_at": now})
 
 
-def discover(state: DataFrame, found: DataFrame, key: str, ordinal: Sequence[Column] = ()) -> DataFrame:
+def discover(state: DataFrame, found: DataFrame, key: str, ordinal: Sequence[Column] = (),
+             probe: bool = False) -> DataFrame:
     """State after recording ``found`` rows (see ``discovery_rows``).
 
     A known entity gets its url, source, last-seen time and a priority that
     never falls; its status, first sight and failures stay.
     """
-    return upsert(state, found, [key], DISCOVERY_POLICY, ordinal, {"failure_count": F.lit(0)})
+    return upsert(state, found, [key], DISCOVERY_POLICY, ordinal, {"failure_count": F.lit(0)}, probe)
 
 
 def apply_commands(state: DataFrame, commands: DataFrame, key: str, now: Column) -> DataFrame:
@@ -277,3 +278,14 @@ def apply_log(log: DataFrame, state: DataFrame | None = None, key: str = "id",
         F.when(hit, "discovered").otherwise(F.col(c)).alias(c) if c == "status"
         else F.when(hit, touched).otherwise(F.col(c)).alias(c) if c == "last_updated_at"
         else F.col(c) for c in rows.columns if c != "_set"])
+
+
+def apply_batch(log: DataFrame, state: DataFrame, key: str = "id", requeues: bool = True) -> DataFrame:
+    """``apply_log`` for a log that touches few of the state's entities.
+
+    Only those entities go through the joins of the replay. While Spark finds
+    their keys small enough to broadcast, the rest of the state is not shuffled.
+    """
+    touched = log.select(key).distinct()
+    changed = apply_log(log, state.join(touched, key, "left_semi"), key, requeues)
+    return changed.unionByName(state.join(touched, key, "left_anti").select(*changed.columns))

@@ -51,6 +51,10 @@ class _Outliner(HTMLParser):
         for at in self.open:
             self.rows[at][1] = len(self.rows) - self.start
 
+    def updatepos(self, i: int, j: int) -> int:
+        """Line numbers are not kept; counting them takes a fifth of the walk."""
+        return j
+
     def _add(self, *fields: object) -> int:
         at = len(self.rows) - self.start
         self.rows.append([at, at + 1, self.open[-1] - self.start if self.open else -1, *fields])

@@ -42,11 +42,17 @@ def reduce_batch(batch: DataFrame, keys: Sequence[str], rules: Mapping[str, str]
 
 def upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str],
            policy: Mapping[str, str] | None = None, ordinal: Sequence[Column] = (),
-           defaults: Mapping[str, Column] | None = None) -> DataFrame:
-    """Target after the batch. Both sides are shuffled once, on the key, and meet once.
+           defaults: Mapping[str, Column] | None = None, probe: bool = False) -> DataFrame:
+    """Target after the batch.
 
-    The result is a plan over ``target``; write it to a new path, never over
-    the files it reads.
+    By default both sides are shuffled once, on the key, and meet once. With
+    ``probe``, meant for batches far smaller than the target, the batch is
+    looked up from the target instead: while Spark finds the batch small
+    enough to broadcast, the target is scanned twice (once for its keys only)
+    and not shuffled at all. The result is the same either way.
+
+    It is a plan over ``target``; write it to a new path, never over the files
+    it reads.
     """
     policy, defaults, keys = dict(policy or {}), dict(defaults or {}), list(keys)
     carried = [c for c in target.columns if c not in keys and c in batch.columns]
@@ -56,7 +62,13 @@ def upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str],
         raise ValueError(f"unknown conflict policy {sorted(unknown)}")
     changes = reduce_batch(batch, keys, rules, ordinal)
     old = target.select(*keys, F.struct(F.lit(True).alias("_row"), *target.columns).alias("old"))
-    both = old.join(changes, keys, "full_outer")
+    if probe:
+        present = target.select(*keys).join(changes.select(*keys), keys, "left_semi")
+        fresh_rows = changes.join(present, keys, "left_anti")
+        none = F.lit(None).cast(old.schema["old"].dataType)
+        both = old.join(changes, keys, "left").unionByName(fresh_rows.withColumn("old", none))
+    else:
+        both = old.join(changes, keys, "full_outer")
     exists, written = F.col("old").isNotNull(), F.col("last").isNotNull()
 
     def resolve(name: str) -> Column:

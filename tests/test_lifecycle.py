@@ -144,6 +144,8 @@ def test_replay_continues_from_a_state(spark, rows, seed):
     state = lc.apply_log(spark.createDataFrame(early, LOG))
     out = lc.apply_log(spark.createDataFrame(late, LOG), state)
     assert rows(out) == fold(early + late)
+    few = [r for r in late if r[0] in (2, 7)]
+    assert rows(lc.apply_batch(spark.createDataFrame(few, LOG), state)) == fold(early + few)
 
 
 def test_attempts(spark, rows):

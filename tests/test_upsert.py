@@ -58,6 +58,7 @@ def test_matches_one_write_after_another_and_is_idempotent(spark, rows):
     policy = {"born": "keep", "rank": "greatest", "note": "coalesce"}
     once = u.upsert(t, b, ["k"], policy, [F.col("n")])
     assert rows(once) == _sequential(target, batch)
+    assert rows(u.upsert(t, b, ["k"], policy, [F.col("n")], probe=True)) == rows(once)
     # A null rank counts as 0 from the second write on; nothing else moves.
     again = u.upsert(once, b, ["k"], policy, [F.col("n")])
     assert rows(again.na.fill(0, ["rank"])) == rows(once.na.fill(0, ["rank"]))
