@@ -9,6 +9,7 @@ from matchloom.catalog.registry import query
 from matchloom.functions import cells, dates, text
 from matchloom.operators import lifecycle as lc
 from matchloom.operators import pages as pg
+from matchloom.operators.markup import staged
 from matchloom.operators.quality import split_errors
 from matchloom.session import spread
 from matchloom.sources import adapter, render
@@ -212,6 +213,20 @@ def _(spark, sf):
     return pg.demo_followups(adapter.matches(spark, sf))
 
 
+@query("map_order_inference", """
+    select match_id, match_id * 10 + n as map_id, n as map_order
+    from (select match_id, unnest(range(1, 2 + match_id % 3)) as n from matches)
+    union all select match_id, -1, null from matches""", "matches")
+def _(spark, sf):
+    rows = spread(adapter.matches(spark, sf), "match_id")
+    # Every link is on the page twice, as it would be with a second navigation bar.
+    pages = render.match_pages(rows).select("page_id", F.concat("html", "html").alias("html"))
+    ids = staged(pg.outlined(pages), "page_id", pg.linked_map_ids(F.col("nodes")).alias("ids"))
+    asked = ids.select("page_id", "ids", F.explode(F.concat("ids", F.array(F.lit(-1).cast("bigint")))).alias("map_id"))
+    return asked.select(F.col("page_id").alias("match_id"), "map_id",
+                        pg.ordinal_in(F.col("ids"), F.col("map_id")).alias("map_order"))
+
+
 def _parsed_maps(spark, sf):
     rows = spread(enriched(spark, sf), "map_id", "player_id")
     return pg.parse_map_pages(render.map_pages(rows), _now())

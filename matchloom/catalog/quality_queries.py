@@ -149,3 +149,16 @@ def _(spark, sf):
         [("matches", t["matches"], ["match_id"]), ("maps", maps, ["map_id"]),
          ("players", t["players"], ["map_id", "player_id"])],
         [("maps", "match_id", "matches"), ("players", "map_id", "maps"), ("matches", "match_id", "maps")])
+
+
+@query("stored_failures", """
+    select 'not_null' as test, map_id, player_id from players where team_name is null
+    union all select 'check', map_id, player_id from players where kd_diff < -20""", "players")
+def _(spark, sf):
+    tests = [q.Test("players", "not_null", ("team_name",), label="not_null"),
+             q.Test("players", "check", (), predicate=F.col("kd_diff") >= -20, label="check")]
+    players = settle(adapter.players(spark, sf), "players")
+    paths = q.store_failures(tests, {"players": players}, work_dir(spark, "failures"))
+    first, second = [spark.read.schema(players.schema).parquet(path).select(F.lit(name).alias("test"), "map_id", "player_id")
+                     for name, path in paths.items()]
+    return first.unionByName(second)

@@ -7,6 +7,8 @@ that each column is worked out once.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -102,8 +104,8 @@ def discover_links(pages: DataFrame, start: Column, end: Column, limit: int | No
 
 # -- match pages -------------------------------------------------------------
 
-def parse_match_pages(pages: DataFrame, now: Column, site: str = SITE) -> DataFrame:
-    """One match row per page plus ``error``; typed as the matches table."""
+def parse_match_pages(pages: DataFrame, now: Column, site: str = SITE, keep: Sequence[str] = ()) -> DataFrame:
+    """One match row per page plus ``error``; typed as the matches table, then the columns ``keep`` of the page."""
     nodes = F.col("nodes")
 
     def score(css_class: str) -> Column:
@@ -115,7 +117,7 @@ def parse_match_pages(pages: DataFrame, now: Column, site: str = SITE) -> DataFr
     demo = k.first(k.select(nodes, "a", "stream-box"))
     demo_url = F.concat(F.lit(site), demo["demo"])
     raw = k.staged(
-        outlined(pages), F.col("url").alias("match_url"),
+        outlined(pages), *keep, F.col("url").alias("match_url"),
         F.transform(F.slice(k.select(nodes, "div", "teamName"), 1, 2), lambda n: k.text_of(nodes, n)).alias("teams"),
         score("team1-gradient").alias("score1"), score("team2-gradient").alias("score2"),
         k.raw_text_of(nodes, k.first(k.select_exact(nodes, "div", "event text-ellipsis"))).alias("event"),
@@ -148,7 +150,7 @@ def parse_match_pages(pages: DataFrame, now: Column, site: str = SITE) -> DataFr
         winner_of(*[F.col(c) for c in ("team1", "team2", "score1", "score2")]).alias("winner"),
         "event", "match_type", text.is_forfeit(F.col("map_name")).alias("forfeit"), "date",
         now.alias("last_inserted_at"), now.alias("last_scraped_at"), now.alias("last_updated_at"),
-        F.lit(True).alias("data_complete"), error.alias("error"))
+        F.lit(True).alias("data_complete"), *keep, error.alias("error"))
 
 
 def map_followups(matches: DataFrame) -> DataFrame:
@@ -179,14 +181,11 @@ def parse_map_pages(pages: DataFrame, now: Column, site: str = SITE) -> DataFram
     tables = k.let(main, lambda found: F.when(F.size(found) > 0, found).otherwise(
         k.select(nodes, "table", "stats-table")))
     date = k.first(k.select(nodes, "div", "date"))
-    ids = F.array_distinct(F.array_compact(F.transform(
-        F.filter(k.select(nodes, "a"), lambda a: a["href"].contains("/stats/matches/mapstatsid/")),
-        lambda a: text.key_from_url(a["href"], text.MAP_KEY))))
 
     found = k.staged(
         outlined(pages), "url", "map_id", "match_id", "map_order", "nodes",
         text.strip(k.first(named)["text"]).alias("map_name"),
-        k.strings(k.inside(nodes, box)).alias("tokens"), tables.alias("tables"), ids.alias("linked_ids"),
+        k.strings(k.inside(nodes, box)).alias("tokens"), tables.alias("tables"), linked_map_ids(nodes).alias("linked_ids"),
         date["unix"].alias("unix"))
     # The page text is needed only where no date attribute is given.
     free_date = dates.text_date(F.array_join(k.strings(nodes), " "))
@@ -207,9 +206,8 @@ def parse_map_pages(pages: DataFrame, now: Column, site: str = SITE) -> DataFram
         "team1_score": _score_after(F.col("tokens"), F.get("teams", F.lit(0))),
         "team2_score": _score_after(F.col("tokens"), F.get("teams", F.lit(1))),
         "order_found": F.coalesce(
-            F.nullif("map_order", F.lit(0)),
-            F.nullif(F.array_position("linked_ids", F.col("map_id")), F.lit(0)),
-            F.nullif(F.array_position("linked_ids", text.key_from_url(F.col("url"), text.MAP_KEY)), F.lit(0))),
+            F.nullif("map_order", F.lit(0)), ordinal_in(F.col("linked_ids"), F.col("map_id")),
+            ordinal_in(F.col("linked_ids"), text.key_from_url(F.col("url"), text.MAP_KEY))),
         "date": F.when(F.col("unix").isNotNull(), F.date_trunc(
             "second", dates.from_millis(dates.millis_attr(F.col("unix")))).cast("timestamp_ntz"))
         .otherwise(dates.parse_stamp(F.col("text_date")))}), "*")
@@ -231,6 +229,18 @@ def parse_map_pages(pages: DataFrame, now: Column, site: str = SITE) -> DataFram
         F.lit(True).alias("data_complete"), "players", error.alias("error"))
 
 
+def linked_map_ids(nodes: Column) -> Column:
+    """Distinct map ids the page links to, in page order."""
+    links = F.filter(k.select(nodes, "a"), lambda a: a["href"].contains("/stats/matches/mapstatsid/"))
+    return F.array_distinct(F.array_compact(F.transform(
+        links, lambda a: text.key_from_url(a["href"], text.MAP_KEY))))
+
+
+def ordinal_in(ids: Column, wanted: Column) -> Column:
+    """Place of an id from 1; null when it is not listed."""
+    return F.nullif(F.array_position(ids, wanted), F.lit(0))
+
+
 def _section(body: Column) -> Column:
     """Team, header names and rows of cells of one player table."""
     heading = k.first(k.select(body, "th", "st-teamname"))

@@ -119,3 +119,13 @@ def test_keyset_pages_cover_everything_once(spark):
         shown += [r["match_id"] for r in page]
         after = (F.lit(page[-1]["date"]).cast("timestamp_ntz"), F.lit(page[-1]["match_id"]))
     assert shown == sorted(range(10), key=lambda i: (i // 3, i), reverse=True)
+
+
+def test_sources_are_read_by_declared_schema(spark, rows, base, tmp_path):
+    base["maps"].write.parquet(str(tmp_path / "maps"))
+    tables = t.catalog(spark, {"maps": (str(tmp_path / "maps"), schemas.MAPS)})
+    assert rows(tables["maps"]) == rows(base["maps"])
+    t.write_json(tables["maps"].select("map_id"), str(tmp_path / "json"))
+    assert spark.read.schema("map_id long").json(str(tmp_path / "json")).count() == 3
+    with pytest.raises(Exception):
+        t.materialise(base["maps"], str(tmp_path / "maps"))

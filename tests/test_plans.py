@@ -17,7 +17,7 @@ SF = os.environ.get("MATCHLOOM_SF_DIR", "/root/testdata/sf0.001")
 needs_data = pytest.mark.skipif(not Path(SF).exists(), reason="no test data")
 
 # Each of these writes tables or runs a stream before it returns its result.
-WRITING = {"dq_suite_report", "dq_base_rules", "dq_grain_flow", "scd2_history", "snapshot_rerun", "fact_roster_asof", "stream_state_replay",
+WRITING = {"dq_suite_report", "dq_base_rules", "dq_grain_flow", "scd2_history", "snapshot_rerun", "fact_roster_asof", "stored_failures", "stream_state_replay",
            "stream_upsert", "ingest_match_pages"}
 
 
