@@ -40,9 +40,6 @@ def test_unpublished_outputs_stay_invisible(spark, rows, tmp_path):
     store = Store(spark, str(tmp_path / "store"), {"a": df.schema, "b": df.schema})
     store.publish(0, {"a": df, "b": df})
 
-    class Boom(Exception):
-        pass
-
     bad = df.mapInPandas(lambda it: (_ for _ in ()).throw(RuntimeError("boom")), schema)
     with pytest.raises(Exception):
         store.publish(1, {"a": spark.createDataFrame([(2,)], schema), "b": bad})
