@@ -52,7 +52,7 @@ def local_session(cpus: int | str = "*", **conf: str) -> SparkSession:
 def shared_root(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by ``spark.checkpoint.dir``."""
     context = spark.sparkContext
-    named = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if named:
         if not context.getCheckpointDir():
             context.setCheckpointDir(named)
@@ -81,6 +81,49 @@ def settle(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+class Workspace:
+    """Working tables of one job below the shared root, deleted together when the job ends.
+
+    Each table is written once and read back, so a lost executor costs at most
+    the job that was running. Spark is told to drop the shuffle files of each
+    write as soon as it ends; they are of no use once the table is there.
+    """
+
+    CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+    def __init__(self, spark: SparkSession, label: str):
+        self.spark = spark
+        self.root = work_dir(spark, label)
+
+    def path(self, name: str) -> str:
+        return f"{self.root}/{name}-{uuid.uuid4().hex[:8]}"
+
+    def settle(self, df: DataFrame, name: str) -> DataFrame:
+        path = self.path(name)
+        before = self.spark.conf.get(self.CLEANUP, "false")
+        self.spark.conf.set(self.CLEANUP, "true")
+        try:
+            df.write.parquet(path)
+        finally:
+            self.spark.conf.set(self.CLEANUP, before)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def result(self, df: DataFrame) -> DataFrame:
+        """Settle the job's result outside this folder, then delete the folder."""
+        kept = Workspace(self.spark, "result").settle(df, "rows")
+        self.close()
+        return kept
+
+    def close(self) -> None:
+        delete_folder(self.spark, self.root)
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Hash ``df`` on a unique key over all cores, ahead of a CPU-bound step.
 
