@@ -4,10 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matchloom.llm import benchmark_leaks, dialogue_views, page_archive, repeated_passages, site_lines
+from matchloom.llm import (
+    benchmark_leaks,
+    dialogue_views,
+    page_archive,
+    page_language,
+    page_quality,
+    repeated_passages,
+    site_lines,
+    token_packing,
+)
 from matchloom.session import Workspace, tune
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -58,6 +68,31 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def hash_rest(column: str, parts: int) -> Column:
+    """crc32 of an id as text, modulo ``parts``; null ids belong to no part."""
+    return F.pmod(F.crc32(F.col(column).cast("string").cast("binary")), F.lit(parts))
+
+
+@query("op2_page_quality")
+def op2_page_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    work = Workspace(spark, "op2")
+    pages = documents(spark, sf_dir)
+    outcomes = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("match_id"), F.col("quality").alias("data_complete"))
+    model = page_quality.fit_quality(pages, outcomes.where(hash_rest("match_id", 4) != 2), work)
+    return page_quality.score_quality(pages, model).select(
+        F.col("match_id").alias("doc_id"), F.coalesce(hash_rest("match_id", 4) == 2, F.lit(False)).alias("held_out"),
+        F.col("quality_score").alias("score"), (F.col("quality_score") >= 0.7).cast("int").alias("predicted"))
+
+
+@query("op3_page_language")
+def op3_page_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = documents(spark, sf_dir)
+    model = page_language.fit_languages(pages.where(hash_rest("match_id", 5) != 0))
+    return page_language.guess_languages(pages, model).select(
+        F.col("match_id").alias("doc_id"), F.coalesce(hash_rest("match_id", 5) == 0, F.lit(False)).alias("held_out"),
+        F.col("language_pred").alias("lang_pred"), F.col("share").alias("score"))
+
+
 @query("op4_repeated_passages")
 def op4_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     work = Workspace(spark, "op4")
@@ -88,6 +123,16 @@ def op6_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return benchmark_leaks.find_leaks(documents(spark, sf_dir), passages).withColumnsRenamed({"match_id": "doc_id"})
 
 
+VOCABULARY = "word_bpe_49k.json"
+
+
+@query("op8_token_packing")
+def op8_token_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = token_packing.pack_pages(documents(spark, sf_dir), public_tokenizers.path(VOCABULARY))
+    return pieces.select(F.col("match_id").alias("doc_id"), "start", "length", F.crc32("token_ids").alias("ids_crc32"),
+                         F.col("page_tokens").alias("doc_tokens"), "sequence_id", "offset")
+
+
 @query("op10_dialogue_views", """
 with t as (select distinct conv_id, coalesce(turn, -1) turn, coalesce(role, 'unknown') speaker, coalesce(text, '') text from conversations),
 p as (select distinct conv_id, speaker perspective from t where speaker <> 'system'),
