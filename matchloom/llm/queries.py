@@ -14,6 +14,7 @@ from matchloom.llm import (
     page_archive,
     page_language,
     page_quality,
+    player_neighbours,
     repeated_passages,
     site_lines,
     token_packing,
@@ -133,6 +134,15 @@ def op8_token_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.col("page_tokens").alias("doc_tokens"), "sequence_id", "offset")
 
 
+@query("op9_player_neighbours")
+def op9_player_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    work = Workspace(spark, "op9")
+    profiles = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("player_id"), F.col("embedding").alias("profile"))
+    found = player_neighbours.similar_players(profiles, profiles.where(F.col("player_id") % 50 == 0), work, k=5)
+    return found.select(F.col("player_id").alias("query_id"), F.col("rank").cast("int").alias("rank"),
+                        F.col("similar_id").alias("vec_id"), "score")
+
+
 @query("op10_dialogue_views", """
 with t as (select distinct conv_id, coalesce(turn, -1) turn, coalesce(role, 'unknown') speaker, coalesce(text, '') text from conversations),
 p as (select distinct conv_id, speaker perspective from t where speaker <> 'system'),
