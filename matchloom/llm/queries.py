@@ -13,6 +13,7 @@ from matchloom.llm import (
     dialogue_views,
     page_archive,
     page_language,
+    page_overlap,
     page_quality,
     player_neighbours,
     repeated_passages,
@@ -124,6 +125,13 @@ def op6_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return benchmark_leaks.find_leaks(documents(spark, sf_dir), passages).withColumnsRenamed({"match_id": "doc_id"})
 
 
+@query("op7_page_overlap")
+def op7_page_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    work = Workspace(spark, "op7")
+    return page_overlap.page_groups(documents(spark, sf_dir), work, words=4, percent=85).select(
+        F.col("match_id").alias("doc_id"), "n_shingles", F.col("group_id").alias("component_id"))
+
+
 VOCABULARY = "word_bpe_49k.json"
 
 
