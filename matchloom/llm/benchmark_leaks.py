@@ -163,6 +163,15 @@ def find_leaks(pages: DataFrame, passages: DataFrame, *, error_rate: float = ERR
                                                    F.min("passage_chars").alias("passage_chars"))
 
 
-def drop_leaked(pages: DataFrame, leaks: DataFrame) -> DataFrame:
-    """Pages with no row in ``leaks``."""
-    return pages.join(leaks.select("match_id").distinct(), "match_id", "left_anti")
+def drop_leaks(pages: DataFrame, passages: DataFrame, *, error_rate: float = ERROR_RATE,
+               block_chars: int = BLOCK_CHARS) -> DataFrame:
+    """The pages, with all their columns, that contain none of the passages. Rows never shuffle."""
+    def tester(block: list[tuple[int, str]]):
+        def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            engine = PassageFinder(block, error_rate)
+            for batch in batches:
+                yield batch.filter(pa.array([not engine.find(text.as_py()) for text in batch.column("page_text")], pa.bool_()))
+        return keep
+    for block in passage_blocks(passages, block_chars):
+        pages = pages.mapInArrow(tester(block), pages.schema)
+    return pages

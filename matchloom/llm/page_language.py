@@ -34,6 +34,7 @@ MAX_LANGUAGES = 256
 PENALTY = 4.0
 SMOOTHING = 0.1
 FLOOR = -20.0
+LEAST_SHARE = 0.5
 FULL_STEPS, SET_STEPS = 10, 6
 CHUNK_CHARS = 4_000_000
 RUNS = re.compile(r"[^\W\d_]+")
@@ -173,6 +174,19 @@ def guess_languages(pages: DataFrame, model: LanguageModel) -> DataFrame:
     return texts.mapInArrow(guess, GUESS_SCHEMA)
 
 
+def keep_known_languages(pages: DataFrame, model: LanguageModel, *, least_share: float = LEAST_SHARE) -> DataFrame:
+    """The pages, with all their columns, whose main language is known and holds ``least_share`` of the text.
+
+    Rows are tested where they are read and never shuffle.
+    """
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [row for ids, texts in chunks([None] * batch.num_rows, batch.column("page_text").to_pylist())
+                     for row in guesses(model, ids, texts)]
+            yield batch.filter(pa.array([row["language_pred"] != UNKNOWN and row["share"] >= least_share for row in found], pa.bool_()))
+    return pages.mapInArrow(keep, pages.schema)
+
+
 def chunks(ids: list, texts: list[str | None]) -> Iterator[tuple[list, list[str | None]]]:
     begin = size = 0
     for k, text in enumerate(texts):

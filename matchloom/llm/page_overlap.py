@@ -234,21 +234,48 @@ def overlap_groups(sets: DataFrame, percent: int, work: Workspace) -> DataFrame
                            .select("signature", "page"), "rest")
 
 
-def page_groups(pages: DataFrame, work: Workspace, *, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """One row per page: ``match_id``, ``n_shingles``, ``group_id`` (the smallest ``match_id`` of its group)."""
-    rows = pages.select(F.col("match_id").cast("long").alias("match_id"), F.coalesce("page_text", F.lit("")).alias("page_text"))
-    rows = rows.withColumn("text_a", F.xxhash64("page_text")).withColumn("text_b", F.xxhash64(F.lit("second"), "page_text"))
+def keyed(pages: DataFrame) -> DataFrame:
+    """The pages with a 128-bit key of their text; a null text counts as an empty one."""
+    text = F.coalesce("page_text", F.lit(""))
+    return pages.withColumn("text_a", F.xxhash64(text)).withColumn("text_b", F.xxhash64(F.lit("second"), text))
+
+
+def text_groups(pages: DataFrame, words: int, percent: int, work: Workspace) -> DataFrame:
+    """Settled different texts with their ``page``, smallest ``match_id``, ``n_shingles`` and ``root`` (a page of their group)."""
+    rows = keyed(pages.select(F.col("match_id").cast("long").alias("match_id"), F.coalesce("page_text", F.lit("")).alias("page_text")))
     sets = page_sets(rows, words, work)
     known = sets.select("text_a", "text_b", "page", "match_id", "n_shingles")
     labels = overlap_groups(sets, percent, work)
-    if labels is not None:
-        known = known.join(labels, "page", "left").withColumn("root", F.coalesce("root", "page"))
-        smallest = work.settle(known.where(F.col("root") != F.col("page")).select("root").distinct()
-                               .join(known.select("root", "match_id"), "root").groupBy("root")
-                               .agg(F.min("match_id").alias("group_id")), "smallest")
-        known = known.join(smallest, "root", "left").withColumn("group_id", F.coalesce("group_id", "match_id"))
-    else:
-        known = known.withColumn("group_id", F.col("match_id"))
-    texts = work.settle(known.select("text_a", "text_b", "n_shingles", "group_id"), "groups")
-    return rows.select("match_id", "text_a", "text_b").join(texts, ["text_a", "text_b"]).select(
+    if labels is None:
+        return known.withColumn("root", F.col("page"))
+    return work.settle(known.join(labels, "page", "left").withColumn("root", F.coalesce("root", "page")), "grouped")
+
+
+def page_groups(pages: DataFrame, work: Workspace, *, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """One row per page: ``match_id``, ``n_shingles``, ``group_id`` (the smallest ``match_id`` of its group)."""
+    texts = text_groups(pages, words, percent, work)
+    smallest = work.settle(texts.groupBy("root").agg(F.min("match_id").alias("group_id"), F.count("*").alias("texts"))
+                           .where("texts > 1").drop("texts"), "smallest")
+    named = work.settle(texts.join(smallest, "root", "left").select(
+        "text_a", "text_b", "n_shingles", F.coalesce("group_id", "match_id").alias("group_id")), "groups")
+    rows = keyed(pages.select(F.col("match_id").cast("long").alias("match_id"), "page_text")).drop("page_text")
+    return rows.join(named, ["text_a", "text_b"]).select(
         "match_id", "n_shingles", F.when(F.col("n_shingles") == 0, F.col("match_id")).otherwise(F.col("group_id")).alias("group_id"))
+
+
+def keep_first_pages(pages: DataFrame, work: Workspace, *, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """The pages, with all their columns, that come first in their group; pages without words all stay.
+
+    Of a group the smallest ``match_id`` stays (known ids before null ones), and one row of it.
+    """
+    columns = pages.columns
+    texts = text_groups(pages, words, percent, work)
+    place = F.struct(F.col("match_id").isNull().alias("unknown"), "match_id", "page")
+    firsts = (texts.where("n_shingles > 0").groupBy("root").agg(F.min(place).alias("first"))
+              .select(F.col("first.page").alias("page")))
+    kept = work.settle(texts.join(firsts, "page", "left_semi").select(
+        "text_a", "text_b", F.col("match_id").alias("_first_id")), "first_texts")
+    rows = keyed(pages)
+    wordless = ~F.coalesce("page_text", F.lit("")).rlike("[^\\x20\\x09-\\x0D]")
+    spoken = rows.where(~wordless).join(kept, ["text_a", "text_b"]).where(F.col("match_id").eqNullSafe(F.col("_first_id")))
+    return pages.where(wordless).unionByName(spoken.dropDuplicates(["text_a", "text_b"]).select(*columns))

@@ -12,6 +12,8 @@ site ``''``; a null text stays null; each row is a page, repeated ids included.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -49,21 +51,24 @@ def site_boilerplate(pages: DataFrame, ratio: float = RATIO, min_pages: int = MI
             .groupBy("site").agg(F.collect_set("line").alias("lines")))
 
 
-def drop_site_lines(pages: DataFrame, work: Workspace, *, ratio: float = RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
+def drop_site_lines(pages: DataFrame, work: Workspace, *, ratio: float = RATIO, min_pages: int = MIN_PAGES,
+                    keep: Sequence[str] = ()) -> DataFrame:
     """Pages without the boilerplate of their site: ``match_id``, ``page_text``, ``n_lines``, ``n_dropped``.
 
+    Columns named in ``keep`` come along; the site itself comes along as it was given.
+
     The settled boilerplate table is joined by site. Spark broadcasts it while
     it is below the session's threshold; beyond that it shuffles both sides and
     splits a hot site.
     """
     boilerplate = work.settle(site_boilerplate(pages, ratio, min_pages), "boilerplate")
-    named = pages.select("match_id", F.coalesce("site", F.lit("")).alias("site"), "page_text")
+    named = pages.select(F.coalesce("site", F.lit("")).alias("_site"), "match_id", "page_text", *keep)
     lines = page_lines(F.col("page_text"))
-    kept = F.filter(lines, lambda l: ~F.array_contains(F.col("lines"), F.xxhash64(line_key(l))))
-    touched = F.col("lines").isNotNull() & F.col("page_text").isNotNull()
-    joined = named.join(boilerplate, "site", "left").withColumn("kept", F.when(touched, kept))
+    kept = F.filter(lines, lambda l: ~F.array_contains(F.col("_lines"), F.xxhash64(line_key(l))))
+    touched = F.col("_lines").isNotNull() & F.col("page_text").isNotNull()
+    joined = named.join(boilerplate.withColumnsRenamed({"site": "_site", "lines": "_lines"}), "_site", "left").withColumn("_kept", F.when(touched, kept))
     return joined.select(
         "match_id",
-        F.when(touched, F.array_join("kept", "\n")).otherwise(F.col("page_text")).alias("page_text"),
+        F.when(touched, F.array_join("_kept", "\n")).otherwise(F.col("page_text")).alias("page_text"),
         F.when(F.col("page_text").isNull(), 0).otherwise(F.size(lines)).cast("long").alias("n_lines"),
-        F.when(touched, F.size(lines) - F.size("kept")).otherwise(0).cast("long").alias("n_dropped"))
+        F.when(touched, F.size(lines) - F.size("_kept")).otherwise(0).cast("long").alias("n_dropped"), *keep)
