@@ -1,0 +1,48 @@
+"""Site boilerplate: counts per site, kept texts, odd rows."""
+
+from collections import Counter, defaultdict
+
+from matchloom.llm.site_lines import drop_site_lines
+from matchloom.session import Workspace
+
+SCHEMA = "match_id long, site string, page_text string"
+COLUMNS = ["match_id", "page_text", "n_lines", "n_dropped"]
+
+
+def brute(pages, ratio, least):
+    totals, counts = Counter(), defaultdict(Counter)
+    for _, site, text in pages:
+        totals[site or ""] += 1
+        for line in {x.strip(" \t\r") for x in (text or "").split("\n")} - {""} if text is not None else ():
+            counts[site or ""][line] += 1
+    out = []
+    for match_id, site, text in pages:
+        if text is None:
+            out.append((match_id, None, 0, 0))
+            continue
+        own = counts[site or ""]
+        lines = text.split("\n")
+        kept = [x for x in lines if not (own[x.strip(" \t\r")] >= least and own[x.strip(" \t\r")] > ratio * totals[site or ""])]
+        out.append((match_id, "\n".join(kept), len(lines), len(lines) - len(kept)))
+    return sorted(out, key=repr)
+
+
+def many_pages():
+    pages = [(k, "a.test" if k % 3 else "b.test", f"Vote now\nMatch {k}\n\n  Cookies \nround {k % 4}") for k in range(40)]
+    pages += [(100 + k, None, "No site\nline") for k in range(6)]
+    return pages + [(200, "a.test", None), (201, "a.test", ""), (202, None, "\n\n"), (203, "c.test", "alone"), (0, "b.test", "Vote now\nMatch 0"),
+                    (204, "a.test", "Vote now\n" * 20_000 + "end"), (None, "a.test", "Cookies\t\nlast")]
+
+
+def test_matches_brute_force(spark, rows):
+    pages = many_pages()
+    for ratio, least in ((0.1, 5), (0.5, 1), (0.9, 5)):
+        found = drop_site_lines(spark.createDataFrame(pages, SCHEMA), Workspace(spark, "test-lines"), ratio=ratio, min_pages=least)
+        assert rows(found, *COLUMNS) == brute(pages, ratio, least)
+
+
+def test_kept_columns_empty_table_and_clashes(spark, rows):
+    wide = spark.createDataFrame([(1, "s", "x", 7, "l")], SCHEMA + ", n_lines int, lines string")
+    assert drop_site_lines(wide, Workspace(spark, "t"), keep=("site",)).columns == [*COLUMNS, "site"]
+    assert rows(drop_site_lines(wide, Workspace(spark, "t")), *COLUMNS) == [(1, "x", 1, 0)]
+    assert drop_site_lines(spark.createDataFrame([], SCHEMA), Workspace(spark, "t")).count() == 0
