@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from matchloom.catalog.lifecycle_queries import attempts, event_state
+from matchloom.catalog.lifecycle_queries import ATTEMPT_ORDER, attempts, event_state
 from matchloom.catalog.model_queries import enriched
 from matchloom.catalog.registry import query
 from matchloom.operators import quality as q
@@ -109,14 +109,20 @@ def _(spark, sf):
     return d.player_team_history(enriched(spark, sf))
 
 
-@query("scrape_runs", """
-    select date_trunc('month', l_shipdate) as run, min(l_shipdate) as started_at, max(l_shipdate) as ended_at,
-      count(*) as total_matches, count(*) filter (where l_returnflag = 'A') as matches_success,
-      count(*) filter (where l_returnflag <> 'A') as matches_failed from lineitem group by 1""")
+@query("scrape_runs", f"""
+    with lines as (select *, date_trunc('month', l_shipdate) as run from lineitem),
+    tried as (select *, row_number() over (partition by run, l_orderkey order by {', '.join(ATTEMPT_ORDER)}) as n from lines),
+    stop as (select run, l_orderkey, min(n) as n from tried where l_returnflag in ('A', 'N') or n = 3 group by 1, 2),
+    final as (select t.run, t.l_orderkey, bool_or(t.n = s.n and l_returnflag = 'A') as ok, s.n is not null as ended
+      from tried t left join stop s using (run, l_orderkey) group by t.run, t.l_orderkey, s.n),
+    spans as (select run, min(l_shipdate) as started_at, max(l_shipdate) as ended_at from lines group by run)
+    select run, any_value(started_at) as started_at, any_value(ended_at) as ended_at, count(*) as total_matches,
+      count(*) filter (where ended and ok) as matches_success, count(*) filter (where ended and not ok) as matches_failed
+    from final join spans using (run) group by run""")
 def _(spark, sf):
     rows = attempts(spark, sf).withColumn(
         "run", F.date_trunc("month", F.col("l_shipdate")).cast("timestamp_ntz"))
-    return d.scrape_runs(rows, ["run"], ["l_orderkey"], "l_shipdate")
+    return d.scrape_runs(rows, ["run"], ["l_orderkey"], "l_shipdate", [F.col(c) for c in ATTEMPT_ORDER])
 
 
 @query("data_complete_rule", """
@@ -150,12 +156,17 @@ def _(spark, sf):
 
 
 @query("incremental_fact", """
-    select map_id, player_id, map_date, case when map_date > timestamp '1999-12-31' then kills + 1 else kills end as kills
-    from enriched""", "enriched")
+    with audited as (select map_id, player_id, map_date, kills, map_date + interval 1 day * (player_id % 3) as written_at from enriched),
+    built as (select * from audited where written_at <= timestamp '1999-12-31'),
+    edge as (select max(written_at) - interval 1 day as since from built)
+    select map_id, player_id, map_date, written_at, case when written_at >= since then kills + 1 else kills end as kills
+    from audited, edge""", "enriched")
 def _(spark, sf):
-    rows = enriched(spark, sf).select("map_id", "player_id", "map_date", "kills")
-    built = rows.filter(F.col("map_date") <= F.expr("timestamp_ntz'1999-12-31 00:00:00'"))
-    return d.incremental_fact(built, rows.withColumn("kills", F.col("kills") + 1), ["map_id", "player_id"], "map_date")
+    rows = enriched(spark, sf).select("map_id", "player_id", "map_date", "kills", (
+        F.col("map_date") + F.make_dt_interval(F.col("player_id") % 3)).alias("written_at"))
+    built = rows.filter(F.col("written_at") <= F.expr("timestamp_ntz'1999-12-31 00:00:00'"))
+    return d.incremental_fact(built, rows.withColumn("kills", F.col("kills") + 1), ["map_id", "player_id"], "written_at",
+                              F.expr("interval 1 day"))
 
 
 @query("source_freshness", """

@@ -203,18 +203,18 @@ def attempts(spark, sf):
     error = F.when(flag != "A", F.concat(F.lit("part "), F.col("l_partkey"), F.lit(" "), F.repeat(F.lit("ab"), 300)))
     return rows.select(
         "l_orderkey", (flag == "A").alias("ok"), (flag == "R").alias("retryable"), error.alias("error"),
-        *_ATTEMPT_ORDER)
+        *ATTEMPT_ORDER)
 
 
-_ATTEMPT_ORDER = ["l_linenumber", "l_shipdate", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_returnflag"]
+ATTEMPT_ORDER = ["l_linenumber", "l_shipdate", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_returnflag"]
 
 
 def folded(spark, sf):
-    return fold_attempts(attempts(spark, sf), ["l_orderkey"], [F.col(c) for c in _ATTEMPT_ORDER])
+    return fold_attempts(attempts(spark, sf), ["l_orderkey"], [F.col(c) for c in ATTEMPT_ORDER])
 
 
 _FOLD_SQL = f"""
-    with tried as (select *, row_number() over (partition by l_orderkey order by {', '.join(_ATTEMPT_ORDER)}) as n from lineitem),
+    with tried as (select *, row_number() over (partition by l_orderkey order by {', '.join(ATTEMPT_ORDER)}) as n from lineitem),
     stop as (select l_orderkey, min(n) as n from tried where l_returnflag in ('A', 'N') or n = 3 group by l_orderkey),
     outcome as (select t.l_orderkey,
       case when s.n is null then 'processing' when bool_or(t.n = s.n and l_returnflag = 'A') then 'processed' else 'failed' end as status,

@@ -34,14 +34,16 @@ def preview(text: Column, limit: int = PREVIEW_LIMIT) -> Column:
     return F.when(F.length(shown) > limit, F.concat(F.substring(shown, 1, limit), F.lit("..."))).otherwise(shown)
 
 
-def exact_mean(value: Column, places: int = 2, scale: int = 6) -> Column:
+def exact_mean(value: Column, places: int = 2, *, scale: int) -> Column:
     """Mean rounded half away from zero, as an aggregate.
 
-    Summing decimals is exact, so the result does not depend on the order in
-    which partial sums are merged.
+    ``scale`` is the number of decimal places the values have; the caller knows
+    it, and further places would be rounded off. Summing decimals is exact, so the
+    result does not depend on the order in which partial sums are merged.
     """
-    exact = F.avg(value.cast(f"decimal(20,{scale})"))
-    return F.round(exact, places).cast("double")
+    total = F.sum(value.cast(f"decimal(28,{scale})"))
+    count = F.count(value)
+    return F.round(total / F.when(count > 0, count), places).cast("double")
 
 
 def surrogate_key(*parts: Column) -> Column:

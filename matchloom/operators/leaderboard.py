@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from matchloom.functions.scalar import exact_mean, fixed
 
 LIMIT_MAX = 100
+# Decimal places of any stored metric.
+METRIC_SCALE = 6
 
 
 def top_players(players: DataFrame, min_maps: int = 5, limit: int = 10, by: str = "player_name",
@@ -22,7 +24,7 @@ def top_players(players: DataFrame, min_maps: int = 5, limit: int = 10, by: str
     if not 1 <= limit <= LIMIT_MAX:
         raise ValueError(f"limit must be between 1 and {LIMIT_MAX}")
     board = (players.groupBy(by)
-             .agg(F.count(F.lit(1)).alias("maps_played"), exact_mean(F.col(metric)).alias("avg_rating"))
+             .agg(F.count(F.lit(1)).alias("maps_played"), exact_mean(F.col(metric), scale=METRIC_SCALE).alias("avg_rating"))
              .filter(F.col("maps_played") >= min_maps))
     if drop_null_means:
         board = board.filter(F.col("avg_rating").isNotNull())

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from matchloom.functions.scalar import clip, preview
+from matchloom.operators.latest import latest_by
 from matchloom.operators.skew import attach
 from matchloom.operators.upsert import upsert
 
@@ -66,13 +67,17 @@ def discover(state: DataFrame, found: DataFrame, key: str, ordinal: Sequence[Col
     return upsert(state, found, [key], DISCOVERY_POLICY, ordinal, {"failure_count": F.lit(0)}, probe)
 
 
-def apply_commands(state: DataFrame, commands: DataFrame, key: str, now: Column) -> DataFrame:
-    """State after at most one command per entity: columns key, op, reason, expected.
+def apply_commands(state: DataFrame, commands: DataFrame, key: str, now: Column,
+                   order_by: Sequence[Column] = ()) -> DataFrame:
+    """State after one command per entity: columns key, op, reason, expected.
 
-    ``requeue`` applies only while the row still has the ``expected`` status;
-    it keeps failures and the last error as history.
+    Of several commands on one entity the first under ``order_by`` counts (ties
+    go by the commands' own values), so the state keeps one row per key. ``requeue``
+    applies only while the row still has the ``expected`` status; it keeps
+    failures and the last error as history.
     """
-    orders = commands.select(key, "op", "reason", "expected")
+    orders = latest_by(commands, [key], [*order_by, F.col("op"), F.col("reason"), F.col("expected")]).select(
+        key, "op", "reason", "expected")
     joined = state.join(orders, key, "left")
     op = F.col("op")
     # A command without an expected status is unconditional; a requeue always names one.
@@ -167,13 +172,13 @@ def status_counts(states: Mapping[str, DataFrame]) -> DataFrame:
         "state_table", "status", F.coalesce("entities", F.lit(0)).alias("entities"))
 
 
-def stage_outcome(parents: DataFrame, children: DataFrame, key: str) -> DataFrame:
-    """Processed where a parent has child rows, failed where it has none."""
+def stage_outcome(parents: DataFrame, children: DataFrame, key: str, reason: str = NO_CHILDREN) -> DataFrame:
+    """Processed where a parent has child rows, failed with ``reason`` where it has none."""
     counts = children.groupBy(key).agg(F.count(F.lit(1)).alias("child_rows"))
     n = F.coalesce("child_rows", F.lit(0))
     return parents.select(key).join(counts, key, "left").select(
         key, n.alias("child_rows"), F.when(n == 0, "failed").otherwise("processed").alias("op"),
-        F.when(n == 0, NO_CHILDREN).alias("reason"), F.lit(None).cast("string").alias("expected"))
+        F.when(n == 0, reason).alias("reason"), F.lit(None).cast("string").alias("expected"))
 
 
 def failure_reason(error: Column) -> Column:

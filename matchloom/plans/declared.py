@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from matchloom.functions.scalar import all_present, exact_mean
+from matchloom.operators.attempts import fold_attempts
+from matchloom.operators.leaderboard import METRIC_SCALE
 from matchloom.operators.latest import first_n_by
 from matchloom.operators.ordered import with_previous
 from matchloom.operators.upsert import upsert
@@ -32,8 +35,7 @@ def player_match_stats(enriched: DataFrame) -> DataFrame:
         F.max(F.struct("map_order", "map_id", "player_name"))["player_name"].alias("player_name"),
         F.sum("kills").alias("total_kills"), F.sum("deaths").alias("total_deaths"),
         F.sum("assists").alias("total_assists"),
-        exact_mean(F.col("rating"), 4).alias("avg_rating"), exact_mean(F.col("adr"), 4).alias("avg_adr"),
-        exact_mean(F.col("kast"), 4).alias("avg_kast"),
+        *[exact_mean(F.col(c), 4, scale=METRIC_SCALE).alias(f"avg_{c}") for c in ("rating", "adr", "kast")],
         F.max("event").alias("event"), F.max("match_date").alias("match_date"))
 
 
@@ -125,14 +127,19 @@ def player_team_history(enriched: DataFrame, bucket: Column | None = None) -> Da
         F.col("next_map_date").cast("date").alias("end_date"), "map_id")
 
 
-def scrape_runs(attempts: DataFrame, run: Sequence[str], item: Sequence[str], at: str) -> DataFrame:
-    """Roll-up per run: items, successes, failures, first and last moment.
+def scrape_runs(attempts: DataFrame, run: Sequence[str], item: Sequence[str], at: str,
+                order_by: Sequence[Column]) -> DataFrame:
+    """Roll-up per run: items with their final outcomes, first and last moment.
 
-    ``attempts`` has one terminal row per run and item with column ``ok``.
+    ``attempts`` holds every attempt (``ok``, ``retryable``, ``error``). An item
+    counts once per run, by the outcome its attempts amount to; one that may
+    still be retried is neither a success nor a failure.
     """
-    return attempts.groupBy(*run).agg(
-        F.min(at).alias("started_at"), F.max(at).alias("ended_at"), F.count(F.lit(1)).alias("total_matches"),
-        F.count_if("ok").alias("matches_success"), F.count_if(~F.col("ok")).alias("matches_failed"))
+    outcomes = fold_attempts(attempts, [*run, *item], order_by).groupBy(*run).agg(
+        F.count(F.lit(1)).alias("total_matches"), F.count_if(F.col("status") == "processed").alias("matches_success"),
+        F.count_if(F.col("status") == "failed").alias("matches_failed"))
+    spans = attempts.groupBy(*run).agg(F.min(at).alias("started_at"), F.max(at).alias("ended_at"))
+    return spans.join(outcomes, list(run))
 
 
 # Fields a row needs to count as complete.
@@ -145,9 +152,20 @@ REQUIRED = {
 }
 
 
+# Rules of valid values; map rows carry no team names, so their winner is checked against the match elsewhere.
+VALID = {
+    "matches": [lambda: F.col("score1") >= 0, lambda: F.col("score2") >= 0,
+                lambda: F.col("winner").isin(F.col("team1"), F.col("team2"))],
+    "maps": [lambda: F.col("team1_score") >= 0, lambda: F.col("team2_score") >= 0, lambda: F.col("map_order").between(1, 5)],
+    "players": [lambda: F.least("kills", "deaths", "assists", "opening_kills", "opening_deaths") >= 0],
+}
+
+
 def with_completeness(df: DataFrame, table: str) -> DataFrame:
-    """``data_complete`` by rule instead of by declaration."""
-    return df.withColumn("data_complete", all_present(*[F.col(c) for c in REQUIRED[table]]))
+    """``data_complete`` by rule instead of by declaration: required fields are there and valid."""
+    present = all_present(*[F.col(c) for c in REQUIRED[table]])
+    valid = [F.coalesce(rule(), F.lit(False)) for rule in VALID[table]]
+    return df.withColumn("data_complete", reduce(Column.__and__, valid, present))
 
 
 TERMINAL = ["processed", "skipped", "dead"]
@@ -171,14 +189,19 @@ def winner_mismatches(maps: DataFrame, matches: DataFrame) -> DataFrame:
     return maps.select("map_id", "match_id", "map_winner").join(teams, "match_id").filter(neither)
 
 
-def incremental_fact(fact: DataFrame, candidates: DataFrame, keys: Sequence[str], watermark: str) -> DataFrame:
-    """Fact after merging the candidates newer than its own newest row.
+def incremental_fact(fact: DataFrame, candidates: DataFrame, keys: Sequence[str], watermark: str,
+                     look_back: Column | None = None) -> DataFrame:
+    """Fact after merging the candidates at least as new as its own newest row.
 
-    The watermark is a scalar subquery, so nothing passes through the driver.
-    An empty fact has none and takes every candidate.
+    ``watermark`` is the audit column (when a row was written), not the date of
+    the event. Rows equal to the newest one are merged again, which changes
+    nothing; ``look_back`` (an interval) also takes rows that arrive that much
+    later than they are stamped. The watermark is a scalar subquery, so nothing
+    passes through the driver. An empty fact has none and takes every candidate.
     """
     high = fact.agg(F.max(watermark)).scalar()
-    newer = candidates.filter(F.coalesce(F.col(watermark) > high, F.lit(True)))
+    since = high if look_back is None else high - look_back
+    newer = candidates.filter(F.coalesce(F.col(watermark) >= since, F.lit(True)))
     return upsert(fact, newer, keys, ordinal=[F.col(watermark)])
 
 

@@ -16,11 +16,12 @@ from matchloom.schemas import COUNTERS, MAPS, MATCHES, PLAYERS
 
 _STATS = [*COUNTERS, "kast", "kd_diff", "adr", "fk_diff", "round_swing", "rating"]
 
-# Facts keep these columns of the enriched rows, in this order.
+# The fact's columns in the order its readers expect.
 FACT_COLUMNS = [
     "match_id", "map_id", "player_id", "player_name", "team_name", "event", "match_date",
-    "match_winner", "map_name", "map_order", "map_date", "map_winner", "map_team1_score",
-    "map_team2_score", *_STATS,
+    "match_winner", "map_name", "map_order", "map_date", "map_winner", "map_team1_score", "map_team2_score",
+    "kills", "deaths", "assists", "flash_assists", "headshots", "opening_kills", "opening_deaths", "traded_deaths",
+    "multi_kills", "clutches_won", "kast", "adr", "rating", "kd_diff", "fk_diff", "round_swing",
 ]
 
 RELATIONSHIP_COLUMNS = [

@@ -20,11 +20,6 @@ def raw_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return scan(spark, f"{sf_dir}/{name}.parquet", RAW_TABLES[name])
 
 
-def catalog(spark: SparkSession, sources: Mapping[str, tuple[str, T.StructType]]) -> dict[str, DataFrame]:
-    """Declared sources as lazy DataFrames, keyed by table name."""
-    return {name: scan(spark, path, schema) for name, (path, schema) in sources.items()}
-
-
 def register_views(tables: Mapping[str, DataFrame]) -> None:
     """Make lazy models readable by name in SQL."""
     for name, df in tables.items():
@@ -47,7 +42,3 @@ def materialise(df: DataFrame, path: str, partition_by: Iterable[str] = ()) -> D
 def as_json_rows(df: DataFrame) -> DataFrame:
     """One JSON object per row in column ``value``."""
     return df.select(F.to_json(F.struct(*df.columns)).alias("value"))
-
-
-def write_json(df: DataFrame, path: str) -> None:
-    df.write.mode("errorifexists").json(path)

@@ -123,7 +123,11 @@ def test_surrogate_key_tells_null_from_text(spark):
 
 def test_mean_rounds_half_up_whatever_the_order(spark):
     df = spark.createDataFrame([(1.0,), (1.01,), (1.0,), (1.01,)], "v double")
-    assert df.agg(scalar.exact_mean(F.col("v"))).first()[0] == 1.01
+    assert df.agg(scalar.exact_mean(F.col("v"), scale=2)).first()[0] == 1.01
+    fine = spark.createDataFrame([(0.0000001,), (0.0000003,), (None,)], "v double")
+    assert fine.agg(scalar.exact_mean(F.col("v"), 7, scale=7)).first()[0] == 0.0000002
+    assert fine.filter("v > 1").agg(scalar.exact_mean(F.col("v"), scale=2)).first()[0] is None
+    assert spark.createDataFrame([(1e15,)], "v double").agg(scalar.exact_mean(F.col("v"), scale=2)).first()[0] == 1e15
 
 
 def test_markers_and_required_element(spark):

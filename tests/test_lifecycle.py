@@ -37,6 +37,14 @@ def test_each_command_touches_its_columns_only(spark):
     assert out[6]["status"] == "discovered" and out[6]["last_updated_at"] == T0
 
 
+def test_several_commands_on_one_entity_leave_one_row(spark, rows):
+    state = spark.createDataFrame([state_row(1), state_row(2)], STATE)
+    commands = spark.createDataFrame([(1, 1, "failed", "first", None), (1, 2, "processed", None, None), (1, 2, "processed", None, None)],
+                                     "id long, n int, op string, reason string, expected string")
+    out = lc.apply_commands(state, commands, "id", NOW, [F.col("n").desc()])
+    assert rows(out, "id", "status", "failure_count") == [(1, "processed", 0), (2, "discovered", 0)]
+
+
 def test_requeue_is_compare_and_set(spark, rows):
     state = spark.createDataFrame([state_row(1, "failed", 3, "boom"), state_row(2, "processed"), state_row(3, "failed", 1)], STATE)
     ids = spark.createDataFrame([(1,), (2,), (1,)], "id long")

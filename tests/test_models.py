@@ -100,7 +100,32 @@ def test_incremental_fact_from_nothing_and_again(spark, rows):
     first = d.incremental_fact(full.limit(0), full, ["k"], "at")
     assert rows(first) == rows(full)
     changed = full.withColumn("v", F.col("v") + 1)
-    assert rows(d.incremental_fact(full.filter("k = 1"), changed, ["k"], "at"), "k", "v") == [(1, 5), (2, 7)]
+    assert rows(d.incremental_fact(full.filter("k = 1"), changed, ["k"], "at"), "k", "v") == [(1, 6), (2, 7)]
+
+
+def test_incremental_fact_takes_ties_and_late_rows(spark, rows):
+    fact = spark.createDataFrame([(1, T0, 5)], "k int, at timestamp_ntz, v int")
+    found = spark.createDataFrame([(1, T0, 6), (2, T0, 7), (3, T0 - dt.timedelta(1), 8), (4, T0 - dt.timedelta(3), 9)], fact.schema)
+    assert rows(d.incremental_fact(fact, found, ["k"], "at"), "k", "v") == [(1, 6), (2, 7)]
+    late = d.incremental_fact(fact, found, ["k"], "at", F.expr("interval 2 days"))
+    assert rows(late, "k", "v") == [(1, 6), (2, 7), (3, 8)]
+
+
+def test_runs_count_items_by_their_final_outcome(spark, rows):
+    tries = [("r1", 1, 1, False, True, "busy"), ("r1", 1, 2, True, False, None), ("r1", 2, 1, False, False, "gone"),
+             ("r1", 3, 1, False, True, "busy"), ("r2", 1, 1, True, False, None)]
+    log = spark.createDataFrame(tries, "run string, match_id int, n int, ok boolean, retryable boolean, error string")
+    out = d.scrape_runs(log, ["run"], ["match_id"], "n", [F.col("n")])
+    assert rows(out, "run", "total_matches", "matches_success", "matches_failed", "started_at", "ended_at") == [
+        ("r1", 3, 1, 1, 1, 2), ("r2", 1, 1, 0, 1, 1)]
+
+
+def test_completeness_needs_valid_values(spark, rows):
+    maps = spark.createDataFrame([
+        (1, 1, "u", 1, "Nuke", 13, 5, "A", T0), (2, 1, "u", 7, "Nuke", 13, 5, "A", T0), (3, 1, "u", 2, "Nuke", -1, 5, "A", T0),
+        (4, 1, "u", 2, None, 1, 5, "A", T0)],
+        "map_id int, match_id int, map_url string, map_order int, map_name string, team1_score int, team2_score int, map_winner string, date timestamp_ntz")
+    assert rows(d.with_completeness(maps, "maps"), "map_id", "data_complete") == [(1, True), (2, False), (3, False), (4, False)]
 
 
 def test_completeness(spark, rows):
@@ -123,9 +148,6 @@ def test_keyset_pages_cover_everything_once(spark):
 
 def test_sources_are_read_by_declared_schema(spark, rows, base, tmp_path):
     base["maps"].write.parquet(str(tmp_path / "maps"))
-    tables = t.catalog(spark, {"maps": (str(tmp_path / "maps"), schemas.MAPS)})
-    assert rows(tables["maps"]) == rows(base["maps"])
-    t.write_json(tables["maps"].select("map_id"), str(tmp_path / "json"))
-    assert spark.read.schema("map_id long").json(str(tmp_path / "json")).count() == 3
+    assert rows(t.scan(spark, str(tmp_path / "maps"), schemas.MAPS)) == rows(base["maps"])
     with pytest.raises(Exception):
         t.materialise(base["maps"], str(tmp_path / "maps"))

@@ -92,8 +92,13 @@ def test_small_batches_leave_the_target_unshuffled(spark, tmp_path):
     spark.range(0, 50_000).select("id", F.lit("old").alias("v")).write.parquet(str(tmp_path / "target"))
     spark.range(49_000, 51_000).select("id", F.lit("new").alias("v")).write.parquet(str(tmp_path / "batch"))
     target, batch = (spark.read.schema("id long, v string").parquet(str(tmp_path / n)) for n in ("target", "batch"))
-    out = upsert(target, batch, ["id"], probe=True)
-    text = plan(out)
+    # Long paths are cut in plan texts unless told otherwise.
+    spark.conf.set("spark.sql.maxMetadataStringLength", "10000")
+    try:
+        out = upsert(target, batch, ["id"], probe=True)
+        text = plan(out)
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
     assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
     # The only exchanges on the key are those of the folded batch.
     assert text.count("Exchange hashpartitioning") == text.count("/batch]") == 3
