@@ -228,16 +228,21 @@ def _(spark, sf):
 
 
 def _parsed_maps(spark, sf):
-    rows = spread(enriched(spark, sf), "map_id", "player_id")
-    return pg.parse_map_pages(render.map_pages(rows), _now())
+    return pg.parse_map_pages(spread(render.map_pages(enriched(spark, sf)), "map_id"), _now())
+
+
+# A page with a row whose rating cannot be read is rejected as a whole; unreadable multi-kills count as 0.
+_GOOD_MAPS = """
+    select map_id from enriched group by map_id having bool_and(rating is not null)"""
 
 
 @query("map_pages_players", f"""
     select map_id, player_id, player_name, player_url, map_name, coalesce(team_name, 'Unknown') as team_name, kills, headshots, assists, flash_assists,
-      deaths, traded_deaths, opening_kills, opening_deaths, multi_kills, clutches_won, kast, kd_diff, adr, fk_diff,
+      deaths, traded_deaths, opening_kills, opening_deaths, case when player_id % 10 = 9 then 0 else multi_kills end as multi_kills,
+      clutches_won, kast, kd_diff, adr, fk_diff,
       round_swing, rating, timestamp '{NOW}' as last_inserted_at, timestamp '{NOW}' as last_scraped_at,
       timestamp '{NOW}' as last_updated_at, true as data_complete
-    from enriched where rating is not null""", "enriched")
+    from enriched where map_id in ({_GOOD_MAPS})""", "enriched")
 def _(spark, sf):
     return pg.player_rows(_parsed_maps(spark, sf))
 
@@ -246,13 +251,19 @@ def _(spark, sf):
     select m.map_id, m.match_id, m.map_url, m.map_order, m.map_name, team1_score, team2_score, m.map_winner, m.date,
       timestamp '{NOW}' as inserted_at, timestamp '{NOW}' as last_scraped_at, timestamp '{NOW}' as last_updated_at,
       true as data_complete
-    from maps m join players p on p.map_id = m.map_id where p.rating is not null""", "enriched")
+    from maps m where m.map_id in ({_GOOD_MAPS})""", "enriched")
 def _(spark, sf):
     return pg.map_rows(_parsed_maps(spark, sf))
 
 
-@query("map_page_rejects", """
-    select map_url as url, 'rating unreadable' as error from players p join maps m on m.map_id = p.map_id
-    where rating is null""", "enriched")
+@query("map_page_rejects", f"""
+    select m.map_url as url, 'rating unreadable' as error from maps m
+    where m.map_id in (select map_id from enriched) and m.map_id not in ({_GOOD_MAPS})""", "enriched")
 def _(spark, sf):
     return pg.rejected_pages(_parsed_maps(spark, sf), "map_url")
+
+
+@query("map_page_warnings", f"""
+    select map_id, player_id, 'multi-kills' as metric from enriched where player_id % 10 = 9 and map_id in ({_GOOD_MAPS})""", "enriched")
+def _(spark, sf):
+    return pg.defaulted_metrics(_parsed_maps(spark, sf))

@@ -34,6 +34,7 @@ METRICS = {
     "swing": ("st-roundSwing", ["swing", "roundswing"], 16),
     "rating": ("st-rating", ["rating3.0", "rating30", "rating2.1", "rating2.0", "rating", "rt"], 17),
 }
+# Classes of hidden cells, and the name of a team that none is given for.
 HIDDEN = ["hidden", "eco-adjusted-data"]
 UNKNOWN_TEAM = "Unknown"
 
@@ -166,8 +167,8 @@ def demo_followups(matches: DataFrame) -> DataFrame:
 
 # -- map pages ---------------------------------------------------------------
 
-def parse_map_pages(pages: DataFrame, now: Column, site: str = SITE) -> DataFrame:
-    """One row per page with the map fields, its ``players`` and ``error``.
+def parse_map_pages(pages: DataFrame, now: Column, site: str = SITE, keep: Sequence[str] = ()) -> DataFrame:
+    """One row per page with the map fields, its ``players``, ``error`` and the columns ``keep`` of the page.
 
     Input columns: url, html, map_id, match_id, map_order (the claim context).
     One unreadable player row rejects its page.
@@ -183,14 +184,14 @@ def parse_map_pages(pages: DataFrame, now: Column, site: str = SITE) -> DataFram
     date = k.first(k.select(nodes, "div", "date"))
 
     found = k.staged(
-        outlined(pages), "url", "map_id", "match_id", "map_order", "nodes",
+        outlined(pages), *keep, "url", "map_id", "match_id", "map_order", "nodes",
         text.strip(k.first(named)["text"]).alias("map_name"),
         k.strings(k.inside(nodes, box)).alias("tokens"), tables.alias("tables"), linked_map_ids(nodes).alias("linked_ids"),
         date["unix"].alias("unix"))
     # The page text is needed only where no date attribute is given.
     free_date = dates.text_date(F.array_join(k.strings(nodes), " "))
     sections = k.staged(
-        found, "url", "map_id", "match_id", "map_order", "map_name", "tokens", "linked_ids", "unix",
+        found, *keep, "url", "map_id", "match_id", "map_order", "map_name", "tokens", "linked_ids", "unix",
         F.size("tables").alias("n_tables"),
         F.when(F.col("unix").isNull(), free_date).alias("text_date"),
         F.transform(
@@ -226,7 +227,7 @@ def parse_map_pages(pages: DataFrame, now: Column, site: str = SITE) -> DataFram
         "team1_score", "team2_score",
         winner_of(*[F.col(c) for c in ("team1", "team2", "team1_score", "team2_score")]).alias("map_winner"),
         "date", now.alias("inserted_at"), now.alias("last_scraped_at"), now.alias("last_updated_at"),
-        F.lit(True).alias("data_complete"), "players", error.alias("error"))
+        F.lit(True).alias("data_complete"), "players", error.alias("error"), *keep)
 
 
 def linked_map_ids(nodes: Column) -> Column:
@@ -328,18 +329,18 @@ def map_rows(parsed: DataFrame) -> DataFrame:
     return parsed.filter(F.col("error").isNull()).drop("players", "error")
 
 
-def player_rows(parsed: DataFrame) -> DataFrame:
-    """Player rows of the pages that parsed; the audit times are the map's."""
+def player_rows(parsed: DataFrame, place: str | None = None) -> DataFrame:
+    """Player rows of the pages that parsed; the audit times are the map's. ``place`` names a column for the row's place on its page."""
     good = parsed.filter(F.col("error").isNull())
     rows = good.select("map_id", "map_name", "inserted_at", "last_scraped_at", "last_updated_at", "data_complete",
-                       F.explode("players").alias("p"))
+                       F.posexplode("players").alias("_place", "p"))
     stats = ["kills", "headshots", "assists", "flash_assists", "deaths", "traded_deaths", "opening_kills",
              "opening_deaths", "multi_kills", "clutches_won", "kast", "kd_diff", "adr", "fk_diff", "round_swing",
              "rating"]
     return rows.select(
         "map_id", "p.player_id", "p.player_name", "p.player_url", "map_name", "p.team_name",
         *[f"p.{c}" for c in stats], F.col("inserted_at").alias("last_inserted_at"),
-        "last_scraped_at", "last_updated_at", "data_complete")
+        "last_scraped_at", "last_updated_at", "data_complete", *([F.col("_place").alias(place)] if place else []))
 
 
 def defaulted_metrics(parsed: DataFrame) -> DataFrame:

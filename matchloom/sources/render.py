@@ -52,43 +52,81 @@ def match_pages(matches: DataFrame) -> DataFrame:
     return matches.select(F.col("match_id").alias("page_id"), F.col("match_url").alias("url"), html.alias("html"))
 
 
-def map_pages(enriched: DataFrame) -> DataFrame:
-    """One page per player row, with both team tables and the player's own.
+# Header titles of the stat tables, each with the spellings pages use, and the cell classes.
+TITLES = {
+    "st-opkd": ["Op. K-D", "Op.K-D"], "st-mks": ["MKs"], "st-kast": ["KAST"], "st-clutches": ["1vsX"], "st-kills": ["K (hs)", "Kills"],
+    "st-assists": ["A (f)"], "st-deaths": ["D (t)", "Deaths"], "st-adr": ["ADR"], "st-roundSwing": ["Swing"],
+    "st-rating": ["Rating 3.0", "Rating 2.1"],
+}
+PLAIN, DECOY = "traditional-data", "eco-adjusted-data hidden"
 
-    Every metric also has a hidden variant in front of the visible cell. A row
-    without a rating shows a dash, which no rating can be read from.
-    """
-    def cell(css: str, value: Column | str, hidden: str | None = None) -> Column:
-        shown = _join(f'<td class="{css} traditional-data">', value, "</td>")
-        return F.concat(F.lit(f'<td class="{css} eco-adjusted-data hidden">{hidden}</td>'), shown) if hidden else shown
 
-    def pair(main: str, extra: str) -> Column:
-        return _join(F.col(main), " (", F.col(extra), ")")
+def _player_row() -> Column:
+    """One player's table row. By player, some cells are hidden only, some lack their class (in rows with one cell per column,
+    where the header tells what they are), and some are unreadable.
 
-    titles = ["Op. K-D", "MKs", "KAST", "1vsX", "K (hs)", "A (f)", "D (t)", "ADR", "Swing", "Rating 3.0"]
-    tail = "".join(f"<th>{t}</th>" for t in titles) + "</tr></thead><tbody>"
+    A hidden decoy in front of a visible cell shows the value of a player who did somewhat better.
+    """
+    style = F.col("player_id") % 4
+
+    def cell(css: str, value: Column, decoy: Column | None = None, classless: bool = False) -> Column:
+        shown = _join(f'<td class="{css} {PLAIN}">', value, "</td>")
+        if classless:
+            shown = F.when(style == 2, _join("<td>", value, "</td>")).otherwise(shown)
+        if decoy is None:
+            return shown
+        return F.when(style == 1, _join(f'<td class="{css} {DECOY}">', value, "</td>")).when(style == 2, shown).otherwise(
+            F.concat(_join(f'<td class="{css} {DECOY}">', decoy, "</td>"), shown))
+
+    def pair(main: str, extra: str, more: int = 0) -> Column:
+        return _join(F.col(main) + more, " (", F.col(extra) + more, ")")
+
+    def percent(column: str, pattern: str) -> Column:
+        return F.format_string(pattern, F.col(column) * 100)
+
+    mks = F.when(F.col("player_id") % 10 == 9, "n/a").otherwise(F.col("multi_kills").cast("string"))
+    rating = F.when(F.col("rating").isNull(), "-").otherwise(F.format_string("%.2f", F.col("rating")))
+    return _join(
+        '<tr><td class="st-player"><a href="/player/', F.col("player_id"), '/p">', F.col("player_name"), "</a></td>",
+        cell("st-opkd", _join(F.col("opening_kills"), " : ", F.col("opening_deaths")),
+             _join(F.col("opening_kills") + 1, " : ", F.col("opening_deaths") + 2)),
+        cell("st-mks", mks, classless=True), cell("st-kast", percent("kast", "%.1f%%"), F.format_string("%.1f%%", F.col("kast") * 100 + 1)),
+        cell("st-clutches", F.col("clutches_won")), cell("st-kills", pair("kills", "headshots"), pair("kills", "headshots", 3)),
+        cell("st-assists", pair("assists", "flash_assists")), cell("st-deaths", pair("deaths", "traded_deaths"), pair("deaths", "traded_deaths", 5)),
+        cell("st-adr", F.format_string("%.1f", F.col("adr")), F.format_string("%.1f", F.col("adr") + 7)),
+        cell("st-roundSwing", percent("round_swing", "%+.2f%%")), cell("st-rating", rating), "</tr>")
 
-    def table(team: Column, body: Column | str) -> Column:
-        return _join('<table class="stats-table totalstats"><thead><tr>', team, tail, body, "</tbody></table>")
 
-    def heading(team: str) -> Column:
-        return F.when(F.col(team).isNotNull(), _join('<th class="st-teamname">', F.col(team), "</th>")).otherwise("<th>?</th>")
+def map_pages(enriched: DataFrame) -> DataFrame:
+    """One page per map: a table for either team, and one for each further team its players name.
 
-    swing = F.format_string("%+.2f%%", F.col("round_swing") * 100)
-    row = _join(
-        '<tr><td class="st-player"><a href="/player/', F.col("player_id"), '/p">', F.col("player_name"), "</a></td>",
-        cell("st-opkd", _join(F.col("opening_kills"), " : ", F.col("opening_deaths")), "9 : 9"),
-        cell("st-mks", F.col("multi_kills")),
-        cell("st-kast", F.format_string("%.1f%%", F.col("kast") * 100), "99.9%"),
-        cell("st-clutches", F.col("clutches_won")), cell("st-kills", pair("kills", "headshots"), "99 (99)"),
-        cell("st-assists", pair("assists", "flash_assists")), cell("st-deaths", pair("deaths", "traded_deaths"), "1 (0)"),
-        cell("st-adr", F.format_string("%.1f", F.col("adr")), "199.9"), cell("st-roundSwing", swing),
-        cell("st-rating", F.when(F.col("rating").isNull(), "-").otherwise(F.format_string("%.2f", F.col("rating")))), "</tr>")
+    The players of a map are gathered into its page; a map has a handful. A team that is not
+    named anywhere heads its table with a question mark. Every seventh map spells its headers the other way.
+    """
+    heads = F.lit("")
+    for spellings in TITLES.values():
+        heads = F.concat(heads, F.when(F.col("map_id") % 7 == 0, f"<th>{spellings[-1]}</th>").otherwise(f"<th>{spellings[0]}</th>"))
+    described = ["map_id", "match_id", "map_order", "map_name", "map_date", "team1", "team2", "map_team1_score", "map_team2_score"]
+    side = F.when(F.col("team_name") == F.col("team1"), 0).when(F.col("team_name") == F.col("team2"), 1).otherwise(2)
+    players = enriched.select(*described, F.struct(
+        side.alias("side"), F.coalesce("team_name", F.lit("")).alias("team"), "player_id", _player_row().alias("row")).alias("p"))
+    gathered = players.groupBy(*described).agg(F.array_sort(F.collect_list("p")).alias("players"))
+
+    def table(team: Column, rows: Column) -> Column:
+        heading = F.when(team == "", "<th>?</th>").otherwise(F.concat(F.lit('<th class="st-teamname">'), team, F.lit("</th>")))
+        body = F.array_join(F.transform(rows, lambda p: p["row"]), "")
+        return F.concat(F.lit('<table class="stats-table totalstats"><thead><tr>'), heading, heads, F.lit("</tr></thead><tbody>"), body,
+                        F.lit("</tbody></table>"))
+
+    def of_side(n: int) -> Column:
+        return F.filter("players", lambda p: p["side"] == n)
+    others = F.array_sort(F.array_distinct(F.transform(of_side(2), lambda p: p["team"])))
+    further = F.array_join(F.transform(others, lambda t: table(t, F.filter(of_side(2), lambda p: p["team"] == t))), "")
     html = _join(
         '<html><body><div class="match-info-box"><div class="date">', F.date_format("map_date", "yyyy-MM-dd HH:mm"),
         '</div><div class="small-text">Map</div> ', F.col("map_name"), ' <a href="/team/1/a">', F.col("team1"),
         "</a><div>", F.col("map_team1_score"), '</div><a href="/team/2/b">', F.col("team2"), "</a><div>",
         F.col("map_team2_score"), "</div><div>Breakdown</div></div>",
-        table(heading("team1"), ""), table(heading("team2"), ""), table(heading("team_name"), row), "</body></html>")
+        table(F.col("team1"), of_side(0)), table(F.col("team2"), of_side(1)), further, "</body></html>")
     url = _join("https://example.test/stats/matches/mapstatsid/", F.col("map_id"), "/x")
-    return enriched.select(url.alias("url"), html.alias("html"), "map_id", "match_id", "map_order")
+    return gathered.select(url.alias("url"), html.alias("html"), "map_id", "match_id", "map_order")

@@ -7,7 +7,6 @@ from matchloom import schemas
 from matchloom.operators import markup as k
 from matchloom.operators import pages as pg
 from matchloom.streaming import ingest
-from matchloom.streaming.store import Store
 
 NOW = F.expr("timestamp_ntz'2025-01-01 00:00:00'")
 TITLES = ["Op. K-D", "MKs", "KAST", "1vsX", "K (hs)", "A (f)", "D (t)", "ADR", "Swing", "Rating 3.0"]
@@ -200,7 +199,7 @@ def test_outline_handles_loose_markup(spark):
 
 
 def test_map_pages_land_together(spark, rows, tmp_path):
-    store = Store(spark, str(tmp_path / "store"), ingest.STORE_SCHEMAS)
+    store = ingest.open_store(spark, str(tmp_path / "store"), 4)
     found = spark.createDataFrame([(i, f"/mapstatsid/{i}/x", 1001, 1) for i in (1, 2, 3, 4)],
                                   "map_id long, map_url string, match_id long, map_order long")
     ingest.record_discoveries(store, found, 0, "map_state", "map_id", NOW, "match_parser")
@@ -212,7 +211,23 @@ def test_map_pages_land_together(spark, rows, tmp_path):
     ingest.ingest_map_pages(store, pages, 1, NOW)
     state = rows(store.read("map_state"), "map_id", "status", "failure_count", "last_error_message")
     assert state == [(1, "processed", 0, None), (2, "failed", 1, "kast unreadable"),
-                     (3, "failed", 1, "Parsing returned no player records"), (4, "failed", 1, "page blocked")]
+                     (3, "failed", 1, "Parsing returned no player records"), (4, "processing", 0, None)]
     assert rows(store.read("maps"), "map_id") == [(1,)] and store.read("players").count() == 2
     ingest.ingest_map_pages(store, pages, 1, NOW)
     assert rows(store.read("map_state"), "map_id", "status", "failure_count", "last_error_message") == state
+
+
+def test_tries_of_one_map_leave_one_outcome(spark, rows, tmp_path):
+    store = ingest.open_store(spark, str(tmp_path / "store"), 4)
+    found = spark.createDataFrame([(i, f"/mapstatsid/{i}/x", 7, 1) for i in (1, 2, 3)], "map_id long, map_url string, match_id long, map_order long")
+    ingest.record_discoveries(store, found, 0, "map_state", "map_id", NOW, "match_parser")
+    good, blocked = map_page(*both()), "<title>Just a moment...</title>"
+    pages = spark.createDataFrame(
+        [(1, 7, 1, "/mapstatsid/1/x", html, n) for n, html in enumerate([blocked, blocked, good])]
+        + [(2, 7, 1, "/mapstatsid/2/x", blocked, n) for n in range(3)]
+        + [(3, 7, 1, "/mapstatsid/3/x", html, n) for n, html in enumerate([good, good])],
+        "map_id long, match_id long, map_order long, url string, html string, fetch_order int")
+    ingest.ingest_map_pages(store, pages, 0, NOW)
+    assert rows(store.read("map_state"), "map_id", "status", "failure_count", "last_error_message") == [
+        (1, "processed", 0, None), (2, "failed", 1, "page blocked"), (3, "processed", 0, None)]
+    assert rows(store.read("maps"), "map_id") == [(1,), (3,)] and store.read("players").count() == 4

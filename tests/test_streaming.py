@@ -5,7 +5,7 @@ from test_lifecycle import LOG, STATE, fold, random_log
 
 from matchloom.operators import lifecycle as lc
 from matchloom.streaming import jobs
-from matchloom.streaming.store import Store
+from matchloom.streaming.store import Change, Store
 
 
 @pytest.fixture
@@ -23,9 +23,9 @@ def log_folder(spark, tmp_path):
 def test_stream_replay_equals_batch(spark, rows, tmp_path, log_folder):
     log, folder = log_folder
     schema = spark.read.parquet(folder).schema
-    store = Store(spark, str(tmp_path / "store"), {"state": STATE})
+    store = Store(spark, str(tmp_path / "store"), {"state": STATE}, {"state": ["id"]}, 4)
     out = jobs.replay_stream(jobs.file_stream(spark, folder, schema, files_per_batch=1), store)
-    assert store.last_batch() == 2
+    assert store.last_batch("replay") == 2
     assert rows(out) == fold(log) == rows(lc.apply_log(spark.read.parquet(folder)))
     # Nothing new: the state stays as it is. New commands: only those are applied.
     assert rows(jobs.replay_stream(jobs.file_stream(spark, folder, schema), store)) == fold(log)
@@ -34,20 +34,79 @@ def test_stream_replay_equals_batch(spark, rows, tmp_path, log_folder):
     assert rows(jobs.replay_stream(jobs.file_stream(spark, folder, schema), store)) == fold(log + more)
 
 
-def test_unpublished_outputs_stay_invisible(spark, rows, tmp_path):
-    schema = "k int"
-    df = spark.createDataFrame([(1,)], schema)
-    store = Store(spark, str(tmp_path / "store"), {"a": df.schema, "b": df.schema})
-    store.publish(0, {"a": df, "b": df})
+KEYED = "k int, v string"
+
+
+def keyed_store(spark, root, buckets=8):
+    schema = spark.createDataFrame([], KEYED).schema
+    return Store(spark, str(root), {"a": schema, "b": schema}, {"a": ["k"], "b": ["k"]}, buckets)
+
 
-    bad = df.mapInPandas(lambda it: (_ for _ in ()).throw(RuntimeError("boom")), schema)
+def frame(spark, *pairs):
+    return spark.createDataFrame(list(pairs), KEYED)
+
+
+def test_unpublished_outputs_stay_invisible(spark, rows, tmp_path):
+    store = keyed_store(spark, tmp_path / "store")
+    store.replace("w", 0, "a", frame(spark, (1, "x")))
+    bad = frame(spark, (1, "y")).mapInPandas(lambda it: (_ for _ in ()).throw(RuntimeError("boom")), KEYED)
     with pytest.raises(Exception):
-        store.publish(1, {"a": spark.createDataFrame([(2,)], schema), "b": bad})
-    assert rows(store.read("a")) == [(1,)] and store.last_batch() == 0
-    store.publish(1, {"a": spark.createDataFrame([(3,)], schema), "b": df})
-    assert rows(store.read("a")) == [(3,)]
-    store.publish(1, {"a": spark.createDataFrame([(4,)], schema)})
-    assert rows(store.read("a")) == [(3,)]
+        store.publish("w", 1, {"a": Change(frame(spark, (1, "y")), lambda old: frame(spark, (1, "y"))), "b": Change(frame(spark, (1, "y")), lambda old: bad)})
+    assert rows(store.read("a")) == [(1, "x")] and store.last_batch("w") == 0 and store.read("b").count() == 0
+    store.replace("w", 1, "a", frame(spark, (1, "z")))
+    store.replace("w", 1, "a", frame(spark, (1, "again")))
+    assert rows(store.read("a")) == [(1, "z")]
+
+
+def test_writers_count_their_own_batches(spark, rows, tmp_path):
+    store = keyed_store(spark, tmp_path / "store")
+    store.replace("one", 5, "a", frame(spark, (1, "x")))
+    store.replace("two", 0, "a", frame(spark, (2, "y")))
+    assert rows(store.read("a")) == [(1, "x"), (2, "y")]
+    before = store.snapshot()
+    store.replace("one", 5, "a", frame(spark, (1, "other")))
+    store.replace("two", 0, "a", frame(spark, (2, "other")))
+    assert store.snapshot() == before and store.is_done("two", 0) and not store.is_done("two", 5)
+    store.replace("one", 3, "a", frame(spark, (3, "late number")))
+    assert rows(store.read("a")) == [(1, "x"), (2, "y"), (3, "late number")]
+
+
+def test_untouched_buckets_keep_their_files(spark, rows, tmp_path):
+    store = keyed_store(spark, tmp_path / "store")
+    store.replace("w", 0, "a", frame(spark, *[(k, "old") for k in range(40)]))
+    first = store.snapshot().versions["a"]
+    store.replace("w", 1, "a", frame(spark, (7, "new")))
+    second = store.snapshot().versions["a"]
+    assert sum(first[b] != second[b] for b in first) == 1
+    assert rows(store.read("a").filter("v = 'new'")) == [(7, "new")] and store.read("a").count() == 40
+    gone = store.publish("w", 2, {"a": Change(frame(spark, (7, "")), lambda old: old.filter("false"))})
+    assert gone is None and store.read("a").filter("k = 7").count() == 0
+
+
+def test_a_taken_number_makes_the_later_writer_look_again(spark, rows, tmp_path):
+    store = keyed_store(spark, tmp_path / "store", buckets=1)
+    calls = []
+
+    def slow(old):
+        calls.append(1)
+        if len(calls) == 1:
+            store.replace("other", 0, "a", frame(spark, (2, "between")))
+        return old.unionByName(frame(spark, (1, "slow")))
+    store.publish("w", 0, {"a": Change(frame(spark, (1, "slow")), slow)})
+    assert len(calls) == 2 and rows(store.read("a")) == [(1, "slow"), (2, "between")]
+
+
+def test_log_folds_and_old_versions_go(spark, rows, tmp_path):
+    store = keyed_store(spark, tmp_path / "store", buckets=2)
+    for n in range(4):
+        store.replace("w", n, "a", frame(spark, *[(k, f"v{n}") for k in range(10)]))
+    before = store.snapshot()
+    store.compact()
+    assert store.snapshot() == before and len(list((tmp_path / "store" / "commits").glob("*.json"))) == 1
+    assert len(store.retain()) == 3 and store.read("a").filter("v = 'v3'").count() == 10
+    store.replace("w", 4, "a", frame(spark, (1, "more")))
+    store.compact()
+    assert store.last_batch("w") == 4 and rows(store.read("a").filter("v = 'more'")) == [(1, "more")]
 
 
 def test_upsert_stream_forms_agree(spark, rows, tmp_path):
@@ -62,11 +121,16 @@ def test_upsert_stream_forms_agree(spark, rows, tmp_path):
     from pyspark.sql import functions as F
     policy, order = {"born": "keep"}, [F.col("n")]
     merged = jobs.upsert_stream(jobs.file_stream(spark, folder, read), target, str(tmp_path / "m"), ["k"], policy, order)
-    store = Store(spark, str(tmp_path / "s"), {"t": target.schema})
-    store.publish(-1, {"t": target})
-    each = jobs.upsert_batches(jobs.file_stream(spark, folder, read, files_per_batch=1), store, "t", ["k"], policy, order)
+    store = Store(spark, str(tmp_path / "s"), {"t": target.schema}, {"t": ["k"]}, 3)
+    store.replace("load", 0, "t", target)
+    each = jobs.upsert_batches(jobs.file_stream(spark, folder, read, files_per_batch=1), store, "t", policy, order)
     table = {1: ("z", -1), 50: ("z", -1)}
     for key, v, born, _n in data:
         table[key] = (v, table[key][1] if key in table else born)
     expected = sorted([(key, *value) for key, value in table.items()], key=repr)
     assert rows(merged) == rows(each) == expected
+    # Merged changes are gone: the next merge holds what came since.
+    assert not (tmp_path / "m" / "changes").exists()
+    spark.createDataFrame([(77, "new", 1, 99)], schema).write.mode("append").parquet(folder)
+    again = jobs.upsert_stream(jobs.file_stream(spark, folder, read), merged, str(tmp_path / "m"), ["k"], policy, order)
+    assert rows(again) == sorted([*expected, (77, "new", 1)], key=repr)
