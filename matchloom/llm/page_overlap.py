@@ -8,18 +8,23 @@ percent * union``; the result names each page's connected group.
 How it finds every link without comparing everything:
 
 * Equal texts are one candidate; the largest group of copies costs one set.
+* A set with too many shingles of its own cannot link and drops out first. Among the rest, the shingles that no
+  other set holds bound the size of any partner, and members with no partner in a bucket leave it. A 256-bit
+  parity sketch of each set bounds the differences of two sets from below; pairs beyond k are not formed.
 * Sizes fall into bands whose ends are ``percent`` apart, so linked sets lie in one
   band or in neighbours, and both write signatures for the band of the larger one.
   Within a band, linked sets differ in at most k shingles.
-* The shingle domain is hashed into ``ceil((k + 1) / 2)`` partitions of three parts.
-  Some partition holds at most one difference, so two of its three parts agree; a signature is the
+* The shingle domain is hashed into ``ceil((k + 1) / 2)`` partitions of several parts.
+  Some partition holds at most one difference, so all of its parts but one agree; a signature is the
   content of a partition but for one part. Sets with at most k differences
-  therefore share a signature, whatever the hashing.
+  therefore share a signature, whatever the hashing. Bands of small sets have few
+  partitions and get more parts, three to sixteen, so that a signature still covers nearly a whole partition.
 * A signature without any shingle would gather unrelated pages. Such a signature is
   written once for each signature of a second, independent partitioning, which linked
   sets share too, so nothing is lost and the gathering is broken up.
-* In a signature's bucket only links to its smallest member are tried at first. Then buckets that still
-  hold pages of different groups try their next members, until none is left. Pages of one group are
+* In a signature's bucket only links to its centre are tried at first: the member that shares the most
+  signatures with other pages, as the least edited copy does. Then buckets that still
+  hold pages of different groups try their next members in that order, until none is left. Pages of one group are
   never compared again, so a bucket of copies costs its length, not its square.
 
 Every candidate pair is measured on its whole sets. Defined results: a null or
@@ -36,15 +41,17 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from matchloom.session import Workspace
 
 WORDS, PERCENT = 5, 80
-MORE_CENTRES = 16
+CENTRES = 32
 PAGES_PER_BATCH = 500
-SET_SCHEMA = "text_a long, text_b long, match_id long, n_shingles long, shingles array<bigint>"
+BROADCAST_PAGES = 2_000_000
+SET_SCHEMA = "text_a long, text_b long, match_id long, n_shingles long, sketch array<bigint>, shingles array<bigint>"
+ABOUT = ("page", "n_shingles", "most", "sketch")
 SIGNATURE_SCHEMA = "signature long, page long"
 ODD = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
 
@@ -69,6 +76,15 @@ def shingle_set(text: bytes, words: int) -> np.ndarray:
     return np.unique(mixed)
 
 
+def parity_sketch(shingles: np.ndarray) -> np.ndarray:
+    """For each of 256 cells of the domain, whether an odd number of the shingles falls into it.
+
+    Sets that differ in d shingles have sketches that differ in at most d bits.
+    """
+    odd = np.bincount((shingles & np.uint64(255)).astype(np.int64), minlength=256) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def band_tops(percent: int, size: int) -> tuple[int, int, int]:
     """Number and top size of the band ``size`` lies in, and the top of the next one."""
     number, top = 0, 1
@@ -86,15 +102,15 @@ def salt(number: int) -> np.uint64:
     return np.uint64(number * int(ODD[1]) % (1 << 64))
 
 
-def parted(shingles: np.ndarray, partitions: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
-    """Sums of mixed shingles over each of the partitions' three parts, and their counts."""
-    place = (mix(shingles + salt(seed)) >> np.uint64(33)) % np.uint64(3 * partitions)
+def parted(shingles: np.ndarray, partitions: int, parts: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sums of mixed shingles over each part of each partition, and their counts."""
+    place = (mix(shingles + salt(seed)) >> np.uint64(33)) % np.uint64(parts * partitions)
     place = place.astype(np.int64)
     order = np.argsort(place, kind="stable")
-    counts = np.bincount(place, minlength=3 * partitions)
+    counts = np.bincount(place, minlength=parts * partitions)
     sums = np.concatenate([[np.uint64(0)], np.cumsum(mix(shingles * ODD[0] + np.uint64(seed))[order], dtype=np.uint64)])
     ends = np.cumsum(counts)
-    return (sums[ends] - sums[ends - counts]).reshape(partitions, 3), counts.reshape(partitions, 3)
+    return (sums[ends] - sums[ends - counts]).reshape(partitions, parts), counts.reshape(partitions, parts)
 
 
 def band_signatures(shingles: np.ndarray, number: int, top: int, percent: int) -> np.ndarray:
@@ -103,12 +119,13 @@ def band_signatures(shingles: np.ndarray, number: int, top: int, percent: int) -
     if differences == 0:
         return mix(shingles.sum(dtype=np.uint64, keepdims=True) + np.uint64(number)) if len(shingles) > top * percent // 100 else np.zeros(0, np.uint64)
     partitions = (differences + 2) // 2
+    parts = max(3, min(16, 48 // partitions))
 
     def layer(seed: int) -> tuple[np.ndarray, np.ndarray]:
-        sums, counts = parted(shingles, partitions, seed)
-        pairs = sums.sum(axis=1, keepdims=True) - sums
-        label = np.arange(3 * partitions, dtype=np.uint64).reshape(partitions, 3) + np.uint64((number << 40) + (seed << 36))
-        return mix(pairs + mix(label * ODD[1])).ravel(), (counts.sum(axis=1, keepdims=True) - counts).ravel() == 0
+        sums, counts = parted(shingles, partitions, parts, seed)
+        but_one = sums.sum(axis=1, keepdims=True) - sums
+        label = np.arange(parts * partitions, dtype=np.uint64).reshape(partitions, parts) + np.uint64((number << 40) + (seed << 36))
+        return mix(but_one + mix(label * ODD[1])).ravel(), (counts.sum(axis=1, keepdims=True) - counts).ravel() == 0
     plain, empty = layer(1)
     if not empty.any():
         return plain
@@ -135,15 +152,18 @@ def page_sets(rows: DataFrame, words: int, work: Workspace) -> DataFrame:
             flat = np.concatenate([*sets, np.zeros(0, np.uint64)]).view(np.int64)
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(name) for name in ("text_a", "text_b", "match_id")), pa.array(sizes),
-                 pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))],
-                names=["text_a", "text_b", "match_id", "n_shingles", "shingles"])
+                 pa.array([parity_sketch(x) for x in sets], pa.list_(pa.int64())), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))],
+                names=["text_a", "text_b", "match_id", "n_shingles", "sketch", "shingles"])
     texts = rows.groupBy("text_a", "text_b").agg(F.min("match_id").alias("match_id"),
                                                  F.first("page_text").cast("binary").alias("page_text"))
     return work.settle(texts.mapInArrow(measure, SET_SCHEMA).withColumn("page", F.monotonically_increasing_id()), "sets")
 
 
-def shared_signatures(sets: DataFrame, percent: int, work: Workspace) -> DataFrame:
-    """Settled members of buckets with more than one page: ``signature``, ``page``, ``centre`` (the bucket's smallest page)."""
+def shared_signatures(sets: DataFrame, sizes: DataFrame, percent: int, work: Workspace) -> DataFrame:
+    """Settled members of buckets with more than one page: ``signature``, ``page``, ``turn`` and the bucket's ``centre``.
+
+    A page's turn goes by the number of signatures it shares, most first.
+    """
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             column = batch.column("shingles")
@@ -156,8 +176,63 @@ def shared_signatures(sets: DataFrame, percent: int, work: Workspace) -> DataFra
                                                  names=["signature", "page"])
     written = sets.where("n_shingles > 0").select("page", "shingles").mapInArrow(sign, SIGNATURE_SCHEMA)
     bucket = Window.partitionBy("signature")
-    return work.settle(written.withColumn("centre", F.min("page").over(bucket)).withColumn("last", F.max("page").over(bucket))
-                       .where(F.col("centre") < F.col("last")).drop("last"), "members")
+    members = work.settle(written.withColumn("first", F.min("page").over(bucket)).withColumn("last", F.max("page").over(bucket))
+                          .where(F.col("first") < F.col("last")).select("signature", "page"), "shared")
+    # The struct orders by its first two fields; the rest comes along.
+    turns = work.settle(members.groupBy("page").agg((-F.count("*")).alias("shared")).join(sizes, "page")
+                        .select("page", F.struct("shared", *ABOUT).alias("turn")), "turns")
+    placed = work.settle(members.join(turns, "page"), "placed")
+    least = work.settle(placed.groupBy("signature").agg(F.min("turn.n_shingles").alias("least")), "least")
+    able = work.settle(placed.join(least, "signature").where(F.col("turn.most") >= F.col("least")).drop("least"), "able")
+    # Once more only buckets of several: members whose partners would have to be smaller than any there have gone.
+    centres = work.settle(able.groupBy("signature").agg(F.min("turn").alias("centre"), F.count("*").alias("n"))
+                          .where("n > 1").drop("n"), "centres")
+    return work.settle(able.join(centres, "signature"), "members")
+
+
+def may_link(a: Column, b: Column, percent: int) -> Column:
+    """False only for sets that cannot link, by their partner sizes and sketches."""
+    bits = sum((F.bit_count(a["sketch"][k].bitwiseXOR(b["sketch"][k])) for k in range(1, 4)),
+               F.bit_count(a["sketch"][0].bitwiseXOR(b["sketch"][0])))
+    return ((a["n_shingles"] <= b["most"]) & (b["n_shingles"] <= a["most"])
+            & (bits * (100 + percent) <= (a["n_shingles"] + b["n_shingles"]) * (100 - percent)))
+
+
+def hopeful(sets: DataFrame, percent: int) -> DataFrame:
+    """``page`` of the sets that could link at all.
+
+    A set shares at least ``percent`` of its shingles with a linked one, so a set with more shingles than
+    the rest that no other set holds is alone. They are counted over a fixed part of the shingle domain, twice the share
+    that may differ, which can only leave more sets in.
+    """
+    part = F.filter("shingles", lambda s: s.bitwiseAND(F.lit(1023)) < 1024 * 2 * (100 - percent) // 100)
+    spoken = sets.where("n_shingles > 0")
+    lonely = (spoken.select("page", F.explode(part).alias("shingle")).groupBy("shingle")
+              .agg(F.count("*").alias("n"), F.min("page").alias("page")).where("n = 1")
+              .groupBy("page").agg(F.count("*").alias("lonely")))
+    return (spoken.select("page", "n_shingles").join(lonely, "page", "left")
+            .where(F.coalesce("lonely", F.lit(0)) * 100 <= F.col("n_shingles") * (100 - percent)).select("page"))
+
+
+def partner_sizes(sets: DataFrame, percent: int) -> DataFrame:
+    """``page``, ``n_shingles`` and ``most``, the largest set it can link with, for sets with any partner size.
+
+    Linked sets of n and m shingles share ``percent / (100 + percent)`` of n + m, and a set shares none
+    of those that only it holds.
+    """
+    lonely = (sets.select("page", F.explode("shingles").alias("shingle")).groupBy("shingle")
+              .agg(F.count("*").alias("n"), F.min("page").alias("page")).where("n = 1")
+              .groupBy("page").agg(F.count("*").alias("lonely")))
+    common = F.col("n_shingles") - F.coalesce("lonely", F.lit(0))
+    return (sets.select("page", "n_shingles", "sketch").join(lonely, "page", "left")
+            .withColumn("most", F.floor(common * (100 + percent) / percent).cast("long") - F.col("n_shingles"))
+            .where(F.col("most") * 100 >= F.col("n_shingles") * percent).select(*ABOUT))
+
+
+def of_pages(sets: DataFrame, pages: DataFrame) -> DataFrame:
+    """The sets of settled ``pages``, one long each: broadcast up to ``BROADCAST_PAGES``, beyond that both sides shuffle."""
+    few = F.broadcast(pages) if pages.count() <= BROADCAST_PAGES else pages
+    return sets.select("page", "n_shingles", "sketch", "shingles").join(few, "page", "left_semi")
 
 
 def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -203,35 +278,42 @@ def relabelled(labels: DataFrame, moved: DataFrame) -> DataFrame:
 
 def overlap_groups(sets: DataFrame, percent: int, work: Workspace) -> DataFrame | None:
     """Settled ``page``, ``root`` of the pages that share a signature with another; none if no pages do."""
-    members = shared_signatures(sets, percent, work)
+    sets = work.settle(of_pages(sets, work.settle(hopeful(sets, percent), "hopeful")), "hopeful_sets")
+    sizes = work.settle(partner_sizes(sets, percent), "sizes")
+    sets = work.settle(of_pages(sets, sizes.select("page")), "partner_sets")
+    members = shared_signatures(sets, sizes, percent, work)
     if members.isEmpty():
         return None
     labels = work.settle(members.select("page").distinct().withColumn("root", F.col("page")), "labels")
-    candidates = work.settle(sets.select("page", "n_shingles", "shingles").join(labels.select("page"), "page", "left_semi"), "candidates")
-    rest = members.where("page <> centre")
-    pairs = rest.select(F.col("centre").alias("a"), F.col("page").alias("b")).distinct()
-    rest = rest.drop("centre")
+    candidates = work.settle(of_pages(sets, labels.select("page")), "candidates")
+    def formed(pairs: DataFrame) -> DataFrame:
+        return work.settle(pairs.select(F.col("x.page").alias("a"), F.col("y.page").alias("b")).distinct(), "pairs")
+    rest = members.where(F.col("page") != F.col("centre.page"))
+    pairs = formed(rest.select(F.col("centre").alias("x"), F.col("turn").alias("y")).where(may_link(F.col("x"), F.col("y"), percent)))
+    rest, many = rest.drop("centre"), CENTRES
     while True:
-        links = work.settle(linked(work.settle(pairs, "pairs"), candidates, percent), "linked")
-        grouped = (links.join(labels.select(F.col("page").alias("a"), F.col("root").alias("root_a")), "a")
-                   .join(labels.select(F.col("page").alias("b"), F.col("root").alias("root_b")), "b")
-                   .select(F.col("root_a").alias("a"), F.col("root_b").alias("b")))
-        moved = components(grouped, work)
-        if moved is not None:
-            labels = work.settle(relabelled(labels, moved), "labels")
-        here = work.settle(rest.join(labels, "page"), "here")
-        mixed = work.settle(here.groupBy("signature").agg(F.min("root").alias("low"), F.max("root").alias("high"))
-                            .where("low < high").select("signature"), "mixed")
+        links = work.settle(linked(pairs, candidates, percent), "linked")
+        if not links.isEmpty():
+            grouped = (links.join(labels.select(F.col("page").alias("a"), F.col("root").alias("root_a")), "a")
+                       .join(labels.select(F.col("page").alias("b"), F.col("root").alias("root_b")), "b")
+                       .select(F.col("root_a").alias("a"), F.col("root_b").alias("b")))
+            moved = components(grouped, work)
+            labels = labels if moved is None else work.settle(relabelled(labels, moved), "labels")
+            rest = work.settle(rest.select("signature", "page", "turn").join(labels, "page"), "here")
+        elif "root" not in rest.columns:
+            rest = work.settle(rest.join(labels, "page"), "here")
+        mixed = work.settle(rest.groupBy("signature").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("n"))
+                            .where("low < high").select("signature", "n"), "mixed")
         if mixed.isEmpty():
             return labels
-        here = work.settle(here.join(mixed, "signature"), "here")
-        rank = F.row_number().over(Window.partitionBy("signature").orderBy("page"))
-        centres = work.settle(here.withColumn("place", rank).where(F.col("place") <= MORE_CENTRES).drop("place"), "centres")
-        others = centres.select("signature", F.col("page").alias("a"), F.col("root").alias("root_a"))
-        pairs = (here.join(others, "signature").where((F.col("a") < F.col("page")) & (F.col("root") != F.col("root_a")))
-                 .select("a", F.col("page").alias("b")).distinct())
-        rest = work.settle(here.join(centres.select("signature", "page"), ["signature", "page"], "left_anti")
-                           .select("signature", "page"), "rest")
+        # The same pages are centres of all their buckets of like size: about ``many`` of each, all of a small one.
+        rank = F.shiftrightunsigned(F.xxhash64("page"), 1) / F.lit(float(1 << 63))
+        here = work.settle(rest.join(mixed, "signature").withColumn("central", rank * F.col("n") < many).drop("n"), "open")
+        tried = here.where("central").select("signature", F.col("turn").alias("x"), F.col("root").alias("root_x"))
+        pairs = formed(here.join(tried, "signature").withColumnRenamed("turn", "y").where(
+            (~F.col("central") | (F.col("x.page") < F.col("page"))) & (F.col("x.page") != F.col("page"))
+            & (F.col("root") != F.col("root_x")) & may_link(F.col("x"), F.col("y"), percent)))
+        rest, many = here.where("not central").drop("central"), many * 4
 
 
 def keyed(pages: DataFrame) -> DataFrame:
