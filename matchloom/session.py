@@ -94,6 +94,7 @@ class Workspace:
     def __init__(self, spark: SparkSession, label: str):
         self.spark = spark
         self.root = work_dir(spark, label)
+        self.latest: dict[str, str] = {}
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}-{uuid.uuid4().hex[:8]}"
@@ -106,8 +107,13 @@ class Workspace:
             df.write.parquet(path)
         finally:
             self.spark.conf.set(self.CLEANUP, before)
+        self.latest[name] = path
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def drop(self, name: str) -> None:
+        """Delete the latest table of that name, once nothing reads it any more."""
+        delete_folder(self.spark, self.latest.pop(name))
+
     def result(self, df: DataFrame) -> DataFrame:
         """Settle the job's result outside this folder, then delete the folder."""
         kept = Workspace(self.spark, "result").settle(df, "rows")
