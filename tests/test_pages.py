@@ -13,8 +13,8 @@ TITLES = ["Op. K-D", "MKs", "KAST", "1vsX", "K (hs)", "A (f)", "D (t)", "ADR", "
 
 
 def cells(**over):
-    shown = dict(opkd="5 : 2", mks="3", kast="70.0%", clutches="1", kills="20 (12)", assists="6 (2)", deaths="15 (3)",
-                 adr="95.2", roundSwing="+3.00%", rating="1.24")
+    shown = dict(opkd="7 : 4", mks="2", kast="62.5%", clutches="1", kills="31 (17)", assists="8 (3)", deaths="22 (5)",
+                 adr="88.6", roundSwing="+6.25%", rating="1.37")
     return {**shown, **over}
 
 
@@ -27,17 +27,17 @@ def table(team, *player_rows, classes="stats-table totalstats", link='<a href="/
             + f"</tr></thead><tbody>{body}</tbody></table>")
 
 
-def map_page(*tables, date='<div class="date">2025-08-05 14:30</div>', name="Train", scores=(26, 28), extra=""):
+def map_page(*tables, date='<div class="date">2024-11-17 19:05</div>', name="Anubis", scores=(17, 19), extra=""):
     return (f'<html><body><div class="match-info-box">{date}<div class="small-text">Map</div>\n {name}\n'
             f'<a href="/team/1/a">Alpha</a><div>{scores[0]}</div><a href="/team/2/b">Beta</a><div>{scores[1]}</div>'
             f"<div>Breakdown</div></div>{extra}{''.join(tables)}</body></html>")
 
 
 def both(**over):
-    return table("Alpha", (1234, cells(**over))), table("Beta", (5678, cells(kills="18 (9)")))
+    return table("Alpha", (41, cells(**over))), table("Beta", (42, cells(kills="12 (6)")))
 
 
-def parse(spark, html, map_id=204269, match_id=1001, order=1, url="/stats/matches/mapstatsid/204269/x"):
+def parse(spark, html, map_id=3307, match_id=880, order=1, url="/stats/matches/mapstatsid/3307/x"):
     pages = spark.createDataFrame([(url, html, map_id, match_id, order)],
                                   "url string, html string, map_id long, match_id long, map_order long")
     return pg.parse_map_pages(pages, NOW)
@@ -50,30 +50,30 @@ def error(spark, html, **kw):
 def test_map_page(spark):
     parsed = parse(spark, map_page(*both()))
     row = pg.map_rows(parsed).first()
-    assert (row.map_id, row.match_id, row.map_order, row.map_name) == (204269, 1001, 1, "Train")
-    assert (row.team1_score, row.team2_score, row.map_winner) == (26, 28, "Beta")
-    assert row.date == dt.datetime(2025, 8, 5, 14, 30)
+    assert (row.map_id, row.match_id, row.map_order, row.map_name) == (3307, 880, 1, "Anubis")
+    assert (row.team1_score, row.team2_score, row.map_winner) == (17, 19, "Beta")
+    assert row.date == dt.datetime(2024, 11, 17, 19, 5)
     first, second = sorted(pg.player_rows(parsed).collect(), key=lambda r: r.player_id)
-    assert (first.kills, first.headshots, first.assists, first.flash_assists, first.deaths, first.traded_deaths) == (20, 12, 6, 2, 15, 3)
-    assert (first.opening_kills, first.opening_deaths, first.kd_diff, first.fk_diff) == (5, 2, 5, 3)
-    assert (first.kast, first.adr, first.round_swing, first.rating) == (0.7, 95.2, 0.03, 1.24)
-    assert (first.player_id, first.player_name, first.team_name) == (1234, "P1234", "Alpha")
-    assert (second.team_name, second.kills) == ("Beta", 18)
+    assert (first.kills, first.headshots, first.assists, first.flash_assists, first.deaths, first.traded_deaths) == (31, 17, 8, 3, 22, 5)
+    assert (first.opening_kills, first.opening_deaths, first.kd_diff, first.fk_diff) == (7, 4, 9, 3)
+    assert (first.kast, first.adr, first.round_swing, first.rating) == (0.625, 88.6, 0.0625, 1.37)
+    assert (first.player_id, first.player_name, first.team_name) == (41, "P41", "Alpha")
+    assert (second.team_name, second.kills) == ("Beta", 12)
     assert [f.name for f in pg.player_rows(parsed).schema] == schemas.PLAYERS.names
 
 
 def test_visible_cell_beats_hidden_and_position(spark):
-    hidden = ('<td class="st-kills eco-adjusted-data hidden">99 (99)</td><td class="st-kills traditional-data">20 (12)</td>'
-              '<td class="st-adr eco-adjusted-data">199.9</td>')
-    page = map_page(*both()).replace('<td class="st-kills">20 (12)</td>', hidden).replace('<td class="st-adr">95.2</td>', "", 1)
+    hidden = ('<td class="st-kills eco-adjusted-data hidden">45 (30)</td><td class="st-kills traditional-data">31 (17)</td>'
+              '<td class="st-adr eco-adjusted-data">131.4</td>')
+    page = map_page(*both()).replace('<td class="st-kills">31 (17)</td>', hidden).replace('<td class="st-adr">88.6</td>', "", 1)
     row = min(pg.player_rows(parse(spark, page)).collect(), key=lambda r: r.player_id)
-    assert (row.kills, row.headshots, row.adr) == (20, 12, 199.9)
+    assert (row.kills, row.headshots, row.adr) == (31, 17, 131.4)
 
 
 def test_header_names_place_unclassed_cells(spark):
     page = map_page(*both()).replace('class="st-rating"', "").replace('class="st-mks"', "")
     row = min(pg.player_rows(parse(spark, page)).collect(), key=lambda r: r.player_id)
-    assert (row.rating, row.multi_kills) == (1.24, 3)
+    assert (row.rating, row.multi_kills) == (1.37, 2)
 
 
 @pytest.mark.parametrize("over, message", [
@@ -91,7 +91,7 @@ def test_optional_metrics_default_with_a_warning(spark, rows):
     row = min(pg.player_rows(parsed).collect(), key=lambda r: r.player_id)
     assert (row.round_swing, row.opening_kills, row.multi_kills) == (0.0, 0, 0)
     assert rows(pg.defaulted_metrics(parsed), "player_id", "metric") == [
-        (1234, "multi-kills"), (1234, "opening duels"), (1234, "round swing")]
+        (41, "multi-kills"), (41, "opening duels"), (41, "round swing")]
 
 
 @pytest.mark.parametrize("link, message", [
@@ -105,7 +105,7 @@ def test_page_level_errors(spark):
     assert error(spark, "<html><body></body></html>") == "map name missing"
     assert error(spark, map_page()) == "no player tables"
     assert error(spark, map_page(both()[0])) == "map teams missing"
-    assert error(spark, map_page(*both()).replace("<div>28</div>", "")) == "map scores unreadable"
+    assert error(spark, map_page(*both()).replace("<div>19</div>", "")) == "map scores unreadable"
     assert error(spark, map_page(*both()), match_id=None) == "no parent match id"
     assert error(spark, map_page(*both()), order=None) == "map order unknown"
     assert error(spark, map_page(*both(), date="")) == "map date unreadable"
@@ -113,7 +113,7 @@ def test_page_level_errors(spark):
 
 
 def test_order_and_date_fallbacks(spark):
-    links = '<a href="/stats/matches/mapstatsid/7/x"></a><a href="/stats/matches/mapstatsid/7/y"></a><a href="/stats/matches/mapstatsid/204269/x"></a>'
+    links = '<a href="/stats/matches/mapstatsid/7/x"></a><a href="/stats/matches/mapstatsid/7/y"></a><a href="/stats/matches/mapstatsid/3307/x"></a>'
     row = parse(spark, map_page(*both(), extra=links, date='<div class="date" data-unix="1704067261500"></div>'), order=0).first()
     assert (row.error, row.map_order, row.date) == (None, 2, dt.datetime(2024, 1, 1, 0, 1, 1))
 
@@ -137,14 +137,14 @@ MATCH = ('<div class="teamName">One</div><div class="teamName">Two</div>'
          '<a class="stream-box" data-demo-link="/download/demo/77"></a><a class="stream-box" data-demo-link="/download/demo/78"></a>')
 
 
-def match_row(spark, html, url="/matches/123456/a-vs-b"):
+def match_row(spark, html, url="/matches/77012/a-vs-b"):
     return pg.parse_match_pages(spark.createDataFrame([(url, html)], "url string, html string"), NOW).first()
 
 
 def test_match_page(spark):
     row = match_row(spark, MATCH)
     assert (row.error, row.match_id, row.team1, row.team2, row.score1, row.score2, row.winner) == (
-        None, 123456, "One", "Two", 16, 10, "One")
+        None, 77012, "One", "Two", 16, 10, "One")
     assert (row.event, row.match_type, row.forfeit, row.date) == ("Cup", "bo3", False, dt.datetime(2024, 1, 1))
     assert [(m.map_id, m.map_url) for m in row.map_links] == [(2, pg.SITE + "/stats/matches/mapstatsid/2/m")]
     assert [(m.demo_id, m.demo_url) for m in row.demo_links] == [("77", pg.SITE + "/download/demo/77")]
@@ -200,13 +200,13 @@ def test_outline_handles_loose_markup(spark):
 
 def test_map_pages_land_together(spark, rows, tmp_path):
     store = ingest.open_store(spark, str(tmp_path / "store"), 4)
-    found = spark.createDataFrame([(i, f"/mapstatsid/{i}/x", 1001, 1) for i in (1, 2, 3, 4)],
+    found = spark.createDataFrame([(i, f"/mapstatsid/{i}/x", 880, 1) for i in (1, 2, 3, 4)],
                                   "map_id long, map_url string, match_id long, map_order long")
     ingest.record_discoveries(store, found, 0, "map_state", "map_id", NOW, "match_parser")
     no_rows = map_page(table("Alpha"), table("Beta"))
     pages = spark.createDataFrame([
-        (1, 1001, 1, "/mapstatsid/1/x", map_page(*both())), (2, 1001, 1, "/mapstatsid/2/x", map_page(*both(kast="N/A"))),
-        (3, 1001, 1, "/mapstatsid/3/x", no_rows), (4, 1001, 1, "/mapstatsid/4/x", "<title>Just a moment...</title>")],
+        (1, 880, 1, "/mapstatsid/1/x", map_page(*both())), (2, 880, 1, "/mapstatsid/2/x", map_page(*both(kast="N/A"))),
+        (3, 880, 1, "/mapstatsid/3/x", no_rows), (4, 880, 1, "/mapstatsid/4/x", "<title>Just a moment...</title>")],
         "map_id long, match_id long, map_order long, url string, html string")
     ingest.ingest_map_pages(store, pages, 1, NOW)
     state = rows(store.read("map_state"), "map_id", "status", "failure_count", "last_error_message")
