@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import math
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -34,7 +35,7 @@ from matchloom.session import Workspace
 
 MIN_SHARED_BYTES = 1000
 MAX_FILE_BYTES = 1 << 30
-READ_BLOCK_BYTES = 32 << 20
+READ_BLOCK_BYTES = 16 << 20
 MAX_GAP_BYTES = 64 << 10
 MAX_RANGE_BYTES = 8 << 20
 
@@ -232,5 +233,8 @@ def read_archives(index: DataFrame, folder: str, *, with_payload: bool = True) -
                                 record["payload"] = None
                         yield pa.RecordBatch.from_pylist(records, schema=schema)
     block = F.floor(F.col("offset") / READ_BLOCK_BYTES)
-    selected = index.select("file", "offset", "length").repartition("file", block).sortWithinPartitions("file", "offset")
+    total = index.agg(F.sum("length")).first()[0] or 0
+    # Index rows are small, so the number of tasks follows the bytes they stand for.
+    tasks = max(index.sparkSession.sparkContext.defaultParallelism, math.ceil(total / READ_BLOCK_BYTES))
+    selected = index.select("file", "offset", "length").repartition(tasks, "file", block).sortWithinPartitions("file", "offset")
     return selected.mapInArrow(read, RECORD_SCHEMA)

@@ -160,9 +160,7 @@ def page_sets(rows: DataFrame, words: int, work: Workspace) -> DataFrame:
 
 
 def shared_signatures(sets: DataFrame, sizes: DataFrame, percent: int, work: Workspace) -> DataFrame:
-    """Settled members of buckets with more than one page: ``signature``, ``page``, ``turn`` and the bucket's ``centre``.
-
-    A page's turn goes by the number of signatures it shares, most first.
+    """Settled members of buckets with more than one page: ``signature``, ``page``, and the bucket's ``centre``: the page that shares most signatures.
     """
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -178,16 +176,17 @@ def shared_signatures(sets: DataFrame, sizes: DataFrame, percent: int, work: Wor
     bucket = Window.partitionBy("signature")
     members = work.settle(written.withColumn("first", F.min("page").over(bucket)).withColumn("last", F.max("page").over(bucket))
                           .where(F.col("first") < F.col("last")).select("signature", "page"), "shared")
-    # The struct orders by its first two fields; the rest comes along.
-    turns = work.settle(members.groupBy("page").agg((-F.count("*")).alias("shared")).join(sizes, "page")
-                        .select("page", F.struct("shared", *ABOUT).alias("turn")), "turns")
-    placed = work.settle(members.join(turns, "page"), "placed")
-    least = work.settle(placed.groupBy("signature").agg(F.min("turn.n_shingles").alias("least")), "least")
-    able = work.settle(placed.join(least, "signature").where(F.col("turn.most") >= F.col("least")).drop("least"), "able")
-    # Once more only buckets of several: members whose partners would have to be smaller than any there have gone.
-    centres = work.settle(able.groupBy("signature").agg(F.min("turn").alias("centre"), F.count("*").alias("n"))
-                          .where("n > 1").drop("n"), "centres")
-    return work.settle(able.join(centres, "signature"), "members")
+    shares = work.settle(members.groupBy("page").agg((-F.count("*")).cast("int").alias("shared")).join(
+        sizes.select("page", F.col("n_shingles").cast("int").alias("size"), F.col("most").cast("int").alias("most")), "page"), "shares")
+    placed = work.settle(members.join(shares, "page"), "placed")
+    work.drop("shared")
+    buckets = work.settle(placed.groupBy("signature").agg(F.min("size").alias("least"), F.min(F.struct("shared", "page")).alias("first"))
+                          .select("signature", "least", F.col("first.page").alias("centre")), "buckets")
+    # Members whose partners would have to be smaller than any there leave the bucket.
+    members = work.settle(placed.join(buckets, "signature").where(F.col("most") >= F.col("least"))
+                          .select("signature", "page", "centre"), "members")
+    work.drop("placed")
+    return members
 
 
 def may_link(a: Column, b: Column, percent: int) -> Column:
@@ -277,19 +276,29 @@ def relabelled(labels: DataFrame, moved: DataFrame) -> DataFrame:
 
 
 def overlap_groups(sets: DataFrame, percent: int, work: Workspace) -> DataFrame | None:
-    """Settled ``page``, ``root`` of the pages that share a signature with another; none if no pages do."""
+    """Settled ``page``, ``root`` of the pages that share a signature with another; none if no pages do.
+
+    Tables that later steps do not read are dropped at once, the sets themselves included.
+    """
     sets = work.settle(of_pages(sets, work.settle(hopeful(sets, percent), "hopeful")), "hopeful_sets")
+    work.drop("sets")
     sizes = work.settle(partner_sizes(sets, percent), "sizes")
     sets = work.settle(of_pages(sets, sizes.select("page")), "partner_sets")
+    work.drop("hopeful_sets")
     members = shared_signatures(sets, sizes, percent, work)
     if members.isEmpty():
         return None
     labels = work.settle(members.select("page").distinct().withColumn("root", F.col("page")), "labels")
     candidates = work.settle(of_pages(sets, labels.select("page")), "candidates")
-    def formed(pairs: DataFrame) -> DataFrame:
-        return work.settle(pairs.select(F.col("x.page").alias("a"), F.col("y.page").alias("b")).distinct(), "pairs")
-    rest = members.where(F.col("page") != F.col("centre.page"))
-    pairs = formed(rest.select(F.col("centre").alias("x"), F.col("turn").alias("y")).where(may_link(F.col("x"), F.col("y"), percent)))
+    work.drop("partner_sets")
+    about = work.settle(labels.select("page").join(sizes, "page").select("page", F.struct(*ABOUT).alias("about")), "about")
+
+    def side(name: str) -> DataFrame:
+        return about.select(F.col("page").alias(name), F.col("about").alias(f"about_{name}"))
+    fit = may_link(F.col("about_a"), F.col("about_b"), percent)
+    rest = members.where("page <> centre")
+    pairs = work.settle(rest.select(F.col("centre").alias("a"), F.col("page").alias("b")).distinct()
+                        .join(side("a"), "a").join(side("b"), "b").where(fit).select("a", "b"), "pairs")
     rest, many = rest.drop("centre"), CENTRES
     while True:
         links = work.settle(linked(pairs, candidates, percent), "linked")
@@ -299,7 +308,7 @@ def overlap_groups(sets: DataFrame, percent: int, work: Workspace) -> DataFrame
                        .select(F.col("root_a").alias("a"), F.col("root_b").alias("b")))
             moved = components(grouped, work)
             labels = labels if moved is None else work.settle(relabelled(labels, moved), "labels")
-            rest = work.settle(rest.select("signature", "page", "turn").join(labels, "page"), "here")
+            rest = work.settle(rest.select("signature", "page").join(labels, "page"), "here")
         elif "root" not in rest.columns:
             rest = work.settle(rest.join(labels, "page"), "here")
         mixed = work.settle(rest.groupBy("signature").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("n"))
@@ -308,12 +317,13 @@ def overlap_groups(sets: DataFrame, percent: int, work: Workspace) -> DataFrame
             return labels
         # The same pages are centres of all their buckets of like size: about ``many`` of each, all of a small one.
         rank = F.shiftrightunsigned(F.xxhash64("page"), 1) / F.lit(float(1 << 63))
-        here = work.settle(rest.join(mixed, "signature").withColumn("central", rank * F.col("n") < many).drop("n"), "open")
-        tried = here.where("central").select("signature", F.col("turn").alias("x"), F.col("root").alias("root_x"))
-        pairs = formed(here.join(tried, "signature").withColumnRenamed("turn", "y").where(
-            (~F.col("central") | (F.col("x.page") < F.col("page"))) & (F.col("x.page") != F.col("page"))
-            & (F.col("root") != F.col("root_x")) & may_link(F.col("x"), F.col("y"), percent)))
-        rest, many = here.where("not central").drop("central"), many * 4
+        here = work.settle(rest.join(mixed, "signature").withColumn("central", rank * F.col("n") < many).drop("n")
+                           .join(about, "page"), "open")
+        tried = here.where("central").select("signature", F.col("page").alias("a"), F.col("root").alias("root_a"), F.col("about").alias("about_a"))
+        pairs = work.settle(here.withColumnsRenamed({"page": "b", "about": "about_b"}).join(tried, "signature").where(
+            (~F.col("central") | (F.col("a") < F.col("b"))) & (F.col("a") != F.col("b")) & (F.col("root") != F.col("root_a")) & fit)
+            .select("a", "b").distinct(), "pairs")
+        rest, many = here.where("not central").drop("central", "about"), many * 4
 
 
 def keyed(pages: DataFrame) -> DataFrame:
@@ -326,7 +336,7 @@ def text_groups(pages: DataFrame, words: int, percent: int, work: Workspace) ->
     """Settled different texts with their ``page``, smallest ``match_id``, ``n_shingles`` and ``root`` (a page of their group)."""
     rows = keyed(pages.select(F.col("match_id").cast("long").alias("match_id"), F.coalesce("page_text", F.lit("")).alias("page_text")))
     sets = page_sets(rows, words, work)
-    known = sets.select("text_a", "text_b", "page", "match_id", "n_shingles")
+    known = work.settle(sets.select("text_a", "text_b", "page", "match_id", "n_shingles"), "known")
     labels = overlap_groups(sets, percent, work)
     if labels is None:
         return known.withColumn("root", F.col("page"))

@@ -95,7 +95,21 @@ def op3_page_language(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("language_pred").alias("lang_pred"), F.col("share").alias("score"))
 
 
-@query("op4_repeated_passages")
+@query("op4_repeated_passages", r"""
+with d as (select doc_id, text, regexp_extract_all(text, '(?s).+?(?:[.!?]+[ \t\r\n]+|\n+|\z)') pieces from documents),
+p as (select doc_id, text, unnest(pieces) piece, generate_subscripts(pieces, 1) i from d),
+k as (select doc_id, i, lower(trim(piece, chr(32) || chr(9) || chr(13) || chr(10))) key from p),
+w as (select doc_id, i, key, len(string_split_regex(key, '[ \t\r\n]+')) words from k),
+r as (select doc_id, i, key k1, lead(key) over o k2, lead(key, 2) over o k3,
+        words + lead(words) over o + lead(words, 2) over o words from w window o as (partition by doc_id order by i)),
+n as (select doc_id, i, row_number() over (partition by k1, k2, k3 order by doc_id, i) occurrence
+      from r where k3 is not null and words >= 12),
+gone as (select distinct doc_id, unnest([i, i + 1, i + 2]) i from n where occurrence > 1),
+kept as (select p.doc_id, string_agg(piece, '' order by p.i) filter (where g.i is null) text, count(g.i) n_removed
+         from p left join gone g on g.doc_id = p.doc_id and g.i = p.i group by 1)
+select d.doc_id, case when coalesce(n_removed, 0) = 0 then d.text else coalesce(kept.text, '') end as text,
+       coalesce(len(pieces), 0)::bigint n_sentences, coalesce(n_removed, 0)::bigint n_removed
+from d left join kept using (doc_id)""")
 def op4_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     work = Workspace(spark, "op4")
     return repeated_passages.drop_repeated_passages(documents(spark, sf_dir), work).withColumnsRenamed(
@@ -125,7 +139,17 @@ def op6_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return benchmark_leaks.find_leaks(documents(spark, sf_dir), passages).withColumnsRenamed({"match_id": "doc_id"})
 
 
-@query("op7_page_overlap")
+@query("op7_page_overlap", r"""
+with recursive w as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') words from documents),
+s as (select doc_id, list_distinct(list_transform(range(1, greatest(len(words) - 3, 1) + 1),
+        lambda i: array_to_string(words[i:i + 3], ' '))) shingles from w where len(words) > 0),
+e as (select doc_id, len(shingles) n, unnest(shingles) shingle from s),
+links as (select a.doc_id a, b.doc_id b from e a join e b on a.shingle = b.shingle and a.doc_id <> b.doc_id
+          group by 1, 2, a.n, b.n having 100 * count(*) >= 85 * (a.n + b.n - count(*))),
+reach as (select doc_id a, doc_id b from s union select r.a, l.b from reach r join links l on l.a = r.b)
+select doc_id, coalesce(len(shingles), 0)::bigint n_shingles, coalesce(m.smallest, doc_id) component_id
+from documents left join s using (doc_id) left join (select a, min(b) smallest from reach group by 1) m on m.a = doc_id""")
 def op7_page_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
     work = Workspace(spark, "op7")
     return page_overlap.page_groups(documents(spark, sf_dir), work, words=4, percent=85).select(
