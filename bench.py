@@ -24,7 +24,8 @@ HEADLINE = [
     "cascade_delete", "claim_batch", "state_replay", "state_replay_requeue", "attempt_outcome", "stage_outcome",
     "scd2_backfill", "fact_roster_asof", "player_team_history", "team_map_win_rate", "player_match_stats",
     "map_highlights", "dq_unique_combo_failures", "dq_base_rules", "dq_grain_flow", "page_links", "page_triage",
-    "result_links", "match_pages", "stream_state_replay", "stream_upsert",
+    "result_links", "match_pages", "stream_state_replay", "stream_upsert", "dq_suite_report", "scd2_history",
+    "map_pages_players", "ingest_match_pages", "upsert_idempotent",
 ]
 
 

@@ -119,6 +119,20 @@ def _(spark, sf):
     return after.drop("url", "first_seen_at", "last_seen_at", "source", "priority")
 
 
+@query("command_dead_partial", """
+    select id, case id % 3 when 0 then 'dead' when 1 then 'partial' else status end as status,
+      case when id % 3 = 1 then timestamp '2024-02-01' else last_processed_at end as last_processed_at,
+      case when id % 3 = 0 then concat('gone ', id) else last_error_message end as last_error_message, failure_count,
+      case when id % 3 < 2 then timestamp '2024-02-01' else last_updated_at end as last_updated_at from state""", "state")
+def _(spark, sf):
+    state = event_state(spark, sf)
+    commands = state.filter(F.col("id") % 3 < 2).select(
+        "id", F.when(F.col("id") % 3 == 0, "dead").otherwise("partial").alias("op"),
+        F.concat(F.lit("gone "), F.col("id").cast("string")).alias("reason"), F.lit(None).cast("string").alias("expected"))
+    after = lc.apply_commands(state, commands, "id", F.expr("timestamp_ntz'2024-02-01 00:00:00'"))
+    return after.select("id", "status", "last_processed_at", "last_error_message", "failure_count", "last_updated_at")
+
+
 _RECENT = "timestamp '2024-01-25'"
 
 

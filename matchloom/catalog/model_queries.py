@@ -8,7 +8,7 @@ from matchloom.catalog.registry import query
 from matchloom.operators.leaderboard import ranked, top_players
 from matchloom.plans import models as m
 from matchloom.sources import adapter
-from matchloom.sources.tables import as_json_rows
+from matchloom.sources.tables import as_json_rows, missing_tables, register_views
 
 # Mean of two-place ratings, rounded half up to two places in whole numbers.
 MEAN = ("cast((2 * sum(cast(round(rating * 100) as bigint)) + count(rating)) // (2 * count(rating)) as double) / 100")
@@ -120,3 +120,21 @@ def _(spark, sf):
       from enriched where player_id is not null and team_name is not null) where rn = 1""", "enriched")
 def _(spark, sf):
     return m.int_player_current_team(enriched(spark, sf))
+
+
+@query("view_rows", "select map_name, count(*) as maps, max(date) as newest from maps group by map_name", "maps")
+def _(spark, sf):
+    register_views({"maps_view": m.stg_maps(adapter.maps(spark, sf))})
+    return spark.sql("select map_name, count(*) as maps, max(date) as newest from maps_view group by map_name")
+
+
+@query("required_tables", """
+    select name, rows from (select 'checked_maps' as name, count(*) as rows from maps union all select 'checked_matches', count(*) from matches
+      union all select 'never_built', null)""", "matches maps")
+def _(spark, sf):
+    """Row counts of the required tables; a missing one has none."""
+    register_views({"checked_maps": adapter.maps(spark, sf), "checked_matches": adapter.matches(spark, sf)})
+    required = ["checked_maps", "checked_matches", "never_built"]
+    gone = missing_tables(spark, required)
+    counts = [f"select '{n}' as name, " + ("cast(null as bigint) as rows" if n in gone else f"count(*) as rows from {n}") for n in required]
+    return spark.sql(" union all ".join(counts))
