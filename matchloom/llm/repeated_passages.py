@@ -5,6 +5,11 @@ sentences is hashed; runs are counted over all pages; a run's first occurrence,
 in the order of ``match_id`` and position, stays, and every sentence that lies in
 a later occurrence of some run is removed.
 
+With ``extend``, ``run`` is the least number of sentences: a run grows from each
+start, and back from each end, until it also holds ``min_words``. So every repeat of
+at least ``run`` whole sentences and ``min_words`` words goes, be they few long or many short
+sentences. A repeat with fewer whole sentences than that stays.
+
 Defined results: sentences end at ``.``, ``!`` or ``?`` before white space, or at
 a line break, and are compared in lower case without outer white space; runs of
 fewer than ``min_words`` words are too common to count; untouched texts come
@@ -34,24 +39,58 @@ def sentence_key(piece: Column) -> Column:
     return F.lower(F.trim(piece, F.lit(" \t\r\n")))
 
 
-def sentence_runs(pages: DataFrame, run: int, min_words: int) -> DataFrame:
-    """``match_id``, ``page``, ``position`` and a 128-bit hash of each run."""
+def sentence_runs(pages: DataFrame, run: int, min_words: int, extend: bool) -> DataFrame:
+    """``match_id``, ``page``, ``position``, ``length`` and a 128-bit hash of each run."""
     keyed = pages.select("match_id", "page", F.transform(sentences(F.col("page_text")), sentence_key).alias("keys"))
     counted = keyed.withColumn("hashes", F.transform("keys", lambda k: F.xxhash64(k))).withColumn(
         "words", F.transform("keys", lambda k: F.size(F.split(k, "[ \t\r\n]+"))))
-    starts = F.when(F.size("keys") >= run, F.sequence(F.lit(1), F.size("keys") - (run - 1)))
-
-    def one(start: Column) -> Column:
-        here = [F.element_at("hashes", start + k) for k in range(run)]
-        words = sum((F.element_at("words", start + k) for k in range(1, run)), F.element_at("words", start))
-        return F.when(words >= min_words, F.struct(start.alias("position"), F.xxhash64(*here).alias("run_a"),
-                                                   F.xxhash64(F.lit(7), *here).alias("run_b")))
-
-    runs = F.filter(F.transform(starts, one), lambda r: r.isNotNull())
-    return counted.select("match_id", "page", F.explode(runs).alias("r")).select("match_id", "page", "r.*")
-
-
-def drop_repeated_passages(pages: DataFrame, work: Workspace, *, run: int = RUN, min_words: int = MIN_WORDS) -> DataFrame:
+    places = F.when(F.size("keys") >= run, F.sequence(F.lit(1), F.size("keys")))
+    # Every sentence has a word at least, so no run needs more sentences than this.
+    most = max(run, min_words)
+
+    def grown(words: Column) -> Column:
+        """Sentences and words of the shortest run at the head of ``words``."""
+        def add(done: Column, count: Column) -> Column:
+            full = (done["n"] >= run) & (done["words"] >= min_words)
+            return F.when(full, done).otherwise(F.struct((done["n"] + 1).alias("n"), (done["words"] + count).alias("words")))
+        return F.aggregate(words, F.struct(F.lit(0).alias("n"), F.lit(0).alias("words")), add)
+
+    def one(start: Column, length: Column) -> Column:
+        here = F.slice("hashes", start, length)
+        return F.struct(start.alias("position"), length.alias("length"), F.xxhash64(here, length).alias("run_a"),
+                        F.xxhash64(F.lit(7), here, length).alias("run_b"))
+
+    def run_words(first: Column) -> Column:
+        """Words of exactly ``run`` sentences, null beyond the text; mostly enough, and cheaper than growing."""
+        return sum((F.get("words", first + k) for k in range(run)), F.lit(0))
+
+    def spanned(start: Column, n: Column, words: Column, new: Column) -> Column:
+        return F.struct(start.alias("start"), n.alias("n"), words.alias("words"), new.alias("new"))
+
+    def forward(start: Column) -> Column:
+        words = run_words(start - 1)
+        found = grown(F.slice("words", start, most))
+        longer = spanned(start, found["n"], found["words"], F.lit(True)) if extend else F.lit(None)
+        return F.when(words >= min_words, spanned(start, F.lit(run), words, F.lit(True))).otherwise(longer)
+
+    def backward(end: Column) -> Column:
+        first = F.greatest(end - (most - 1), F.lit(1))
+        found = grown(F.reverse(F.slice("words", first, end - first + 1)))
+        # Without its last sentence it must still be a run; else it is the forward run of its start.
+        rest = found["words"] - F.element_at("words", end)
+        long_enough = spanned(end - found["n"] + 1, found["n"], found["words"], (found["n"] > run) & (rest >= min_words))
+        return F.when((end > run) & (run_words(end - run) < min_words), long_enough)
+
+    found = F.transform(places, forward)
+    if extend:
+        found = F.concat(found, F.transform(places, backward))
+    whole = F.filter(found, lambda r: F.coalesce((r["n"] >= run) & (r["words"] >= min_words) & r["new"], F.lit(False)))
+    spans = counted.select("match_id", "page", "hashes", F.explode(whole).alias("r"))
+    return spans.select("match_id", "page", one(F.col("r.start"), F.col("r.n")).alias("r")).select("match_id", "page", "r.*")
+
+
+def drop_repeated_passages(pages: DataFrame, work: Workspace, *, run: int = RUN, min_words: int = MIN_WORDS,
+                           extend: bool = False) -> DataFrame:
     """Pages without later occurrences: ``match_id``, ``page_text``, ``n_sentences``, ``n_removed``.
 
     Counting folds hashes before the shuffle, so copies cost nothing extra. Only
@@ -60,7 +99,7 @@ def drop_repeated_passages(pages: DataFrame, work: Workspace, *, run: int = RUN,
     gathers sentence positions of one page, never of a run.
     """
     rows = pages.select("match_id", "page_text", F.xxhash64("match_id", "page_text").alias("page"))
-    runs = work.settle(sentence_runs(rows, run, min_words), "runs")
+    runs = work.settle(sentence_runs(rows, run, min_words, extend), "runs")
     repeated = work.settle(runs.groupBy("run_a", "run_b").agg(F.count("*").alias("n")).where("n > 1").drop("n"), "repeated")
     hits = work.settle(runs.join(repeated, ["run_a", "run_b"]), "hits")
     place = F.struct(F.col("match_id").isNull().alias("unknown"), "match_id", "page", "position")
@@ -69,7 +108,7 @@ def drop_repeated_passages(pages: DataFrame, work: Workspace, *, run: int = RUN,
         ~(F.col("first.match_id").eqNullSafe(F.col("match_id")) & (F.col("first.page") == F.col("page"))
           & (F.col("first.position") == F.col("position"))))
     removed = work.settle(
-        later.select("page", F.explode(F.sequence("position", F.col("position") + (run - 1))).alias("sentence"))
+        later.select("page", F.explode(F.sequence("position", F.col("position") + F.col("length") - 1)).alias("sentence"))
         .groupBy("page").agg(F.collect_set("sentence").alias("removed")), "removed")
     pieces = sentences(F.col("page_text"))
     kept = F.filter(pieces, lambda piece, k: ~F.array_contains("removed", k + 1))

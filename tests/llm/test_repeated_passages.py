@@ -47,6 +47,41 @@ def test_matches_brute_force(spark, rows):
         assert rows(found, *COLUMNS) == brute(pages, run, least)
 
 
+def brute_spans(pages, run, least):
+    """Every maximal or smaller repeat of at least ``run`` sentences and ``least`` words, tried out in full."""
+    places, cut = {}, {m: PIECES.findall(t) for m, t in pages}
+    for match_id, pieces in cut.items():
+        keys = [p.strip(" \t\r\n").lower() for p in pieces]
+        for i in range(len(keys)):
+            for j in range(i + run, len(keys) + 1):
+                if sum(len(re.split("[ \t\r\n]+", x)) for x in keys[i:j]) >= least:
+                    places.setdefault(tuple(keys[i:j]), []).append((match_id, i))
+    gone = {m: set() for m in cut}
+    for keys, found in places.items():
+        for match_id, i in sorted(found)[1:]:
+            gone[match_id].update(range(i, i + len(keys)))
+    return sorted([(m, "".join(p for k, p in enumerate(cut[m]) if k not in gone[m]), len(cut[m]), len(gone[m])) for m, _ in pages], key=repr)
+
+
+def test_extended_runs_find_few_long_and_many_short_sentences(spark, rows):
+    rng = random.Random(5)
+    long_one = " ".join(f"w{k}" for k in range(25)) + ". " + " ".join(f"v{k}" for k in range(25)) + ". "
+    shouts = "".join(f"{rng.choice('abcdefgh')}{k}!! " for k in range(40))
+    column = "".join(f"item{k}\n" for k in range(20))
+    shared = [long_one, shouts, column, *("".join(sentence(rng) for _ in range(n)) for n in (2, 3, 5))]
+    pages = [(1, shouts), (2, shouts), (3, column), (4, column), (5, "Alone one two. " + long_one), (6, long_one + "Other end here. ")]
+    for k in range(10, 40):
+        parts = [sentence(rng) for _ in range(rng.randint(0, 8))]
+        for _ in range(rng.randint(0, 2)):
+            parts.insert(rng.randint(0, len(parts)), rng.choice(shared))
+        pages.append((k, "".join(parts)))
+    frame = spark.createDataFrame(pages, SCHEMA)
+    found = rows(drop_repeated_passages(frame, Workspace(spark, "t"), run=2, extend=True), *COLUMNS)
+    assert found == brute_spans(pages, 2, 12)
+    text = {r[0]: r[1] for r in found}
+    assert text[2] == "" and text[4] == "" and text[6] == "Other end here. "
+
+
 def test_empty_table_and_clashing_columns(spark, rows):
     assert drop_repeated_passages(spark.createDataFrame([], SCHEMA), Workspace(spark, "t")).count() == 0
     wide = spark.createDataFrame([(1, "A b c.", 1, "x")], SCHEMA + ", position int, page string")
