@@ -1,7 +1,7 @@
 import random
 
 import pytest
-from test_lifecycle import LOG, STATE, fold, random_log
+from test_lifecycle import LOG, STATE, fold, random_log, state_row
 
 from matchloom.operators import lifecycle as lc
 from matchloom.streaming import jobs
@@ -34,6 +34,22 @@ def test_stream_replay_equals_batch(spark, rows, tmp_path, log_folder):
     assert rows(jobs.replay_stream(jobs.file_stream(spark, folder, schema), store)) == fold(log + more)
 
 
+@pytest.mark.parametrize("seed", [1, 2])
+def test_late_commands_and_requeues_give_the_batch_state(spark, rows, tmp_path, seed):
+    log = random_log(seed, 160, first_seq=30)
+    shuffled = random.Random(seed).sample(log, len(log))
+    folder = str(tmp_path / "log")
+    for part in range(4):
+        spark.createDataFrame(shuffled[part * 40:part * 40 + 40], LOG).coalesce(1).write.mode("append").parquet(folder)
+    read = spark.read.parquet(folder).schema
+    known = [state_row(3, "failed", 2, "boom", 5), state_row(99, "dead")]
+    store = Store(spark, str(tmp_path / "store"), {"state": STATE}, {"state": ["id"]}, 4)
+    store.replace("load", 0, "state", spark.createDataFrame(known, STATE))
+    out = jobs.replay_stream(jobs.file_stream(spark, folder, read, files_per_batch=1), store)
+    assert store.last_batch("replay") == 3
+    assert rows(out) == fold(log, known) == rows(lc.apply_log(spark.read.parquet(folder), spark.createDataFrame(known, STATE)))
+
+
 KEYED = "k int, v string"
 
 
