@@ -43,9 +43,11 @@ def placed(turns: DataFrame, work: Workspace) -> DataFrame:
     # The hash, shifted to 0..2^32-1, is cut into equal ranges: order by hash stays order by slice.
     unsigned = F.shiftright("row_hash", 32) + F.lit(1 << 31)
     slices = F.ceil(F.col("rows") / PART_ROWS)
-    return rows.join(oversized, ["conv_id", "part"], "left").withColumn(
-        "slice", F.when(F.col("rows").isNull(), F.struct(F.lit(-1).cast("long").alias("turn"), F.lit(0).cast("long").alias("n")))
-        .otherwise(F.struct("turn", F.floor(unsigned * slices / F.lit(1 << 32)).cast("long").alias("n")))).drop("rows")
+    cut = oversized.select(F.col("conv_id").alias("cut_conv_id"), F.col("part").alias("cut_part"), "rows")
+    here = F.col("conv_id").eqNullSafe(F.col("cut_conv_id")) & (F.col("part") == F.col("cut_part"))
+    return rows.join(cut, here, "left").withColumn(
+        "slice", F.when(F.col("rows").isNotNull(), F.struct("turn", F.floor(unsigned * slices / F.lit(1 << 32)).cast("long").alias("n")))
+    ).drop("rows", "cut_conv_id", "cut_part")
 
 
 def render(segments: Column) -> Column:
@@ -62,9 +64,12 @@ def render(segments: Column) -> Column:
 
 
 def perspective_views(turns: DataFrame, work: Workspace) -> DataFrame:
-    """One row per dialogue, participant and part: ``conv_id``, ``perspective``, ``part``, ``slice``, ``n_turns``,
+    """One row per dialogue, participant, part and slice: ``conv_id``, ``perspective``, ``part``, ``slice``, ``n_turns``,
     ``rendered``, ``loss_spans`` (start and end characters of what the model learns to say).
 
+    ``slice`` is null for a part in one piece, else the turn and number that order the pieces; spans count from the
+    start of their piece.
+
     Participants are settled before the join, so Spark can split the turns of a
     very long dialogue. Views are one per participant and turn by definition.
     """

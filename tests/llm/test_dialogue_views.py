@@ -43,6 +43,13 @@ def test_matches_brute_force(spark, monkeypatch):
     assert small.agg({"n_turns": "max"}).first()[0] < 40
 
 
+def test_a_large_part_without_conversation_is_cut(spark, monkeypatch):
+    turns = [(None, k % 5 if k % 2 else None, "ab"[k % 3 % 2], f"call {k}") for k in range(400)]
+    monkeypatch.setattr(views, "PART_ROWS", 20)
+    found = views.perspective_views(spark.createDataFrame(turns, SCHEMA), Workspace(spark, "t"))
+    assert found.agg({"n_turns": "max"}).first()[0] < 80 and joined(found) == brute(turns)
+
+
 def test_order_within_a_view(spark):
     found = views.perspective_views(spark.createDataFrame(
         [(1, 2, "b", "third"), (1, 0, "system", "first"), (1, 1, "a", "second")], SCHEMA), Workspace(spark, "t"))
