@@ -68,7 +68,7 @@ def perspective_views(turns: DataFrame, work: Workspace) -> DataFrame:
     ``rendered``, ``loss_spans`` (start and end characters of what the model learns to say).
 
     ``slice`` is null for a part in one piece, else the turn and number that order the pieces; spans count from the
-    start of their piece.
+    start of their piece. ``whole_parts`` puts pieces together.
 
     Participants are settled before the join, so Spark can split the turns of a
     very long dialogue. Views are one per participant and turn by definition.
@@ -87,3 +87,26 @@ def perspective_views(turns: DataFrame, work: Workspace) -> DataFrame:
     return views.withColumn("view", render(F.col("segments"))).select(
         "conv_id", "perspective", "part", "slice", F.size("segments").cast("long").alias("n_turns"),
         F.col("view.rendered").alias("rendered"), F.col("view.spans").alias("loss_spans"))
+
+
+def whole_parts(views: DataFrame) -> DataFrame:
+    """Views with one row per dialogue, participant and part at any size, spans counted from the start of the part.
+
+    A part that was cut is one row again, so its text must fit a task and a row. Pieces come rendered; parts that
+    were not cut are passed on without a shuffle.
+    """
+    names = ["conv_id", "perspective", "part", "n_turns", "rendered", "loss_spans"]
+    start = F.struct(F.lit("").alias("rendered"), F.array().cast("array<struct<start:bigint,end:bigint>>").alias("spans"))
+
+    def add(done: Column, piece: Column) -> Column:
+        begin = F.length(done["rendered"]).cast("long")
+        spans = F.transform(piece["loss_spans"], lambda s: F.struct((s["start"] + begin).alias("start"), (s["end"] + begin).alias("end")))
+        return F.struct(F.concat(done["rendered"], piece["rendered"]).alias("rendered"),
+                        F.concat(done["spans"], spans).alias("spans"))
+
+    pieces = F.sort_array(F.collect_list(F.struct("slice", "rendered", "loss_spans"))).alias("pieces")
+    merged = (views.where(F.col("slice").isNotNull()).groupBy("conv_id", "perspective", "part")
+              .agg(F.sum("n_turns").alias("n_turns"), pieces)
+              .withColumn("view", F.aggregate("pieces", start, add))
+              .withColumns({"rendered": F.col("view.rendered"), "loss_spans": F.col("view.spans")}))
+    return views.where(F.col("slice").isNull()).select(*names).unionByName(merged.select(*names))

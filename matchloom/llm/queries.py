@@ -217,5 +217,5 @@ def op10_dialogue_views(spark: SparkSession, sf_dir: str) -> DataFrame:
     work = Workspace(spark, "op10")
     turns = table(spark, sf_dir, "conversations").withColumnRenamed("role", "speaker")
     spans = F.transform("loss_spans", lambda s: F.concat_ws("-", s["start"], s["end"]))
-    return dialogue_views.perspective_views(turns, work).select(
+    return dialogue_views.whole_parts(dialogue_views.perspective_views(turns, work)).select(
         "conv_id", "perspective", "part", "n_turns", "rendered", F.array_join(spans, ",").alias("loss_spans"))

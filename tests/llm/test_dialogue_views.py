@@ -50,6 +50,16 @@ def test_a_large_part_without_conversation_is_cut(spark, monkeypatch):
     assert found.agg({"n_turns": "max"}).first()[0] < 80 and joined(found) == brute(turns)
 
 
+def test_whole_parts_do_not_depend_on_the_cut(spark, rows, monkeypatch):
+    turns = [(c, 3 if k % 2 else k % 40, "abc"[k % 3], f"call {k}") for c in (1, None) for k in range(150)] + [(2, 0, "a", "x"), (2, 70, "b", "y")]
+    frame = spark.createDataFrame(turns, SCHEMA)
+    names = ["conv_id", "perspective", "part", "n_turns", "rendered", "loss_spans"]
+    uncut = rows(views.perspective_views(frame, Workspace(spark, "t")), *names)
+    monkeypatch.setattr(views, "PART_ROWS", 10)
+    cut = views.perspective_views(frame, Workspace(spark, "t"))
+    assert cut.count() > len(uncut) and rows(views.whole_parts(cut), *names) == uncut
+
+
 def test_order_within_a_view(spark):
     found = views.perspective_views(spark.createDataFrame(
         [(1, 2, "b", "third"), (1, 0, "system", "first"), (1, 1, "a", "second")], SCHEMA), Workspace(spark, "t"))
