@@ -11,11 +11,14 @@ from pyspark.sql import functions as F
 from matchloom.llm import (
     benchmark_leaks,
     dialogue_views,
+    match_manifest,
     page_archive,
     page_language,
     page_overlap,
     page_quality,
+    page_shards,
     player_neighbours,
+    profile_whitening,
     repeated_passages,
     site_lines,
     token_packing,
@@ -219,3 +222,87 @@ def op10_dialogue_views(spark: SparkSession, sf_dir: str) -> DataFrame:
     spans = F.transform("loss_spans", lambda s: F.concat_ws("-", s["start"], s["end"]))
     return dialogue_views.whole_parts(dialogue_views.perspective_views(turns, work)).select(
         "conv_id", "perspective", "part", "n_turns", "rendered", F.array_join(spans, ",").alias("loss_spans"))
+
+
+# The table for one byte of a CRC-32, from its polynomial.
+CRC_TABLE = """select list_transform(range(256), lambda i: list_reduce(range(8), lambda v, k: xor(v >> 1, 3988292384 * (v & 1)), i::bigint)) crcs"""
+
+
+def crc32_sql(blob: str) -> str:
+    """Unsigned CRC-32 of a blob; ``crcs`` must be in scope."""
+    octets = f"list_transform(range(octet_length({blob})), lambda k: ('0x' || substr(hex({blob}), (2 * k + 1)::bigint, 2))::bigint)"
+    return f"xor(list_reduce({octets}, lambda c, x: xor(c >> 8, crcs[(xor(c, x) & 255) + 1]), 4294967295::bigint), 4294967295)"
+
+
+@query("op11_page_shards", f"""
+with crc as ({CRC_TABLE}),
+d as (select doc_id, encode(coalesce(text, '')) payload, coalesce(md5(text), '') digest from documents),
+r as (select doc_id, octet_length(payload)::bigint + 16 size, {crc32_sql("payload")} text_crc32, digest from d, crc),
+p as (select *, row_number() over o - 1 number, sum(size) over o - size before, sum(size) over () total, sum(size) over (partition by digest) held
+      from r window o as (order by digest, doc_id nulls first rows between unbounded preceding and current row)),
+s as (select *, case when held * 4000 > 2 * total then 2 * before + size else 2 * min(before) over (partition by digest) + held end middle from p),
+c as (select *, (middle * 40 // (2 * total))::int shard from s)
+select doc_id, size, text_crc32::bigint text_crc32, 'bytes' law, shard, (number - min(number) over (partition by shard))::bigint slot,
+       null::int grown_shard from c""")
+def op11_page_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    work = Workspace(spark, "op11")
+    pages = documents(spark, sf_dir).select(F.col("match_id").alias("page_id"), F.col("page_text").alias("html"))
+    return page_shards.shard_pages(pages, work, shards=40).select(
+        F.col("page_id").alias("doc_id"), F.col("page_bytes").alias("size"), F.col("page_crc32").alias("text_crc32"),
+        F.lit(page_shards.LAW).alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+@query("op12_profile_whitening")
+def op12_profile_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    work = Workspace(spark, "op12")
+    profiles = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("player_id"), F.col("embedding").alias("profile"))
+    return profile_whitening.whiten_profiles(profiles, work, components=16).withColumnsRenamed(
+        {"player_id": "vec_id", "n_profiles": "n"})
+
+
+def field_sql(column: str) -> str:
+    return f"coalesce(octet_length(encode({column}::varchar))::varchar || ':' || {column}::varchar, '-')"
+
+
+@query("op13_match_manifest", f"""
+with recursive crc as ({CRC_TABLE}),
+d as (select doc_id, source, sha256({" || ".join(field_sql(c) for c in ("doc_id", "source", "lang", "n_chars", "text"))}) leaf,
+        sha256({" || ".join(field_sql(c) for c in ("doc_id", "source", "lang", "n_chars", "copy"))}) claimed
+      from (select *, case when {crc32_sql("encode(doc_id::varchar)")} % 2 = 0 then replace(text, chr(10), '') else text end copy from documents, crc)),
+p as (select *, row_number() over (partition by source order by doc_id nulls first, leaf) - 1 place, count(*) over (partition by source) size,
+        dense_rank() over (order by source nulls first) - 1 tree from d),
+up as (select tree, 0 level, place, size, leaf digest from p
+       union all
+       select tree, level + 1, place // 3, (max(size) + 2) // 3, sha256(string_agg(digest, '' order by place)) from up where size > 1 group by tree, level, place // 3),
+steps as (select tree, level, place, size, digest,
+            coalesce(string_agg(digest, '' order by place) over (run rows between unbounded preceding and 1 preceding), '') before,
+            coalesce(string_agg(digest, '' order by place) over (run rows between 1 following and unbounded following), '') after
+          from up window run as (partition by tree, level, place // 3 order by place)),
+subroots as (select tree, digest subroot from up where size = 1),
+top as (select 0 level, tree place, (select count(*) from subroots) size, subroot digest from subroots
+        union all
+        select level + 1, place // 3, (max(size) + 2) // 3, sha256(string_agg(digest, '' order by place)) from top where size > 1 group by level, place // 3),
+top_steps as (select level, place, size, digest,
+            coalesce(string_agg(digest, '' order by place) over (run rows between unbounded preceding and 1 preceding), '') before,
+            coalesce(string_agg(digest, '' order by place) over (run rows between 1 following and unbounded following), '') after
+          from top window run as (partition by level, place // 3 order by place)),
+climb as (select tree, place leaf_place, 0 level, place, claimed node, '' path from p
+          union all
+          select c.tree, leaf_place, c.level + 1, c.place // 3, sha256(before || node || after), path || before || after
+          from climb c join steps s on s.tree = c.tree and s.level = c.level and s.place = c.place where s.size > 1),
+half as (select c.* from climb c join (select tree, max(level) level from up group by tree) using (tree, level)),
+climb2 as (select tree, leaf_place, 0 level, tree place, node, path from half
+           union all
+           select c.tree, leaf_place, c.level + 1, c.place // 3, sha256(before || node || after), path || before || after
+           from climb2 c join top_steps s on s.level = c.level and s.place = c.place where s.size > 1),
+folded as (select tree, leaf_place place, node folded_root, path from climb2 where level = (select max(level) from top))
+select doc_id, leaf, subroot, digest root, sha256(path) proof_sha256, folded_root, folded_root = digest verified
+from p join folded using (tree, place) join subroots using (tree), (select digest from top where size = 1)""")
+def op13_match_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    work = Workspace(spark, "op13")
+    matches = table(spark, sf_dir, "documents").withColumnsRenamed({"doc_id": "match_id", "source": "event"})
+    tampered = F.when(F.crc32(F.col("match_id").cast("string")) % 2 == 0, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
+    found = match_manifest.match_manifest(matches, work, fields=("match_id", "event", "lang", "n_chars", "text"), claims={"text": tampered})
+    folded = found.withColumn("folded_root", match_manifest.fold(F.col("claimed_leaf"), F.col("path")))
+    return folded.select(F.col("match").alias("doc_id"), "leaf", "subroot", "root", match_manifest.path_digest(F.col("path")).alias("proof_sha256"),
+                         "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))

@@ -1,0 +1,75 @@
+"""Page shards against a plain loop: balance, whole groups, odd rows."""
+
+import hashlib
+import random
+import zlib
+
+import pytest
+
+from matchloom.llm import page_shards
+from matchloom.session import Workspace
+
+PAGES = "page_id long, html string"
+
+
+def brute(rows, shards, percent):
+    units = sorted(((hashlib.md5(t.encode()).hexdigest() if t is not None else "", i is not None, i or 0, len((t or "").encode()) + 16,
+                     zlib.crc32((t or "").encode()), i) for i, t in rows), key=lambda u: u[:3])
+    total = sum(u[3] for u in units)
+    held, before, begins = {}, 0, {}
+    for u in units:
+        begins.setdefault(u[0], before)
+        held[u[0]] = held.get(u[0], 0) + u[3]
+        before += u[3]
+    out, before, used = [], 0, {}
+    for digest, _, _, size, crc, page in units:
+        large = held[digest] * 100 * shards > percent * total
+        middle = 2 * before + size if large else 2 * begins[digest] + held[digest]
+        shard = middle * shards // (2 * total)
+        out.append((page, size, crc, shard, used.get(shard, 0)))
+        used[shard] = used.get(shard, 0) + 1
+        before += size
+    return sorted(out, key=repr)
+
+
+def sharded(spark, rows, shards, percent=2):
+    out = page_shards.shard_pages(spark.createDataFrame(rows, PAGES).repartition(5), Workspace(spark, "t"), shards=shards, whole_percent=percent)
+    return sorted((tuple(r) for r in out.collect()), key=repr)
+
+
+def test_shards_are_contiguous_and_balanced(spark):
+    rng = random.Random(1)
+    rows = [(k, "é" * rng.randrange(200) + str(k % 700)) for k in range(2000)]
+    rows += [(5000 + k, "the same page" * 12) for k in range(1000)]  # a third of all rows
+    rows += [(k, f"copy {k % 3}") for k in range(9000, 9009)]
+    got = sharded(spark, rows, 8, 20)
+    assert got == brute(rows, 8, 20)
+    sizes = [sum(r[1] for r in got if r[3] == s) for s in range(8)]
+    assert max(sizes) - min(sizes) <= 0.4 * sum(sizes) / 8
+    text, where = dict(rows), {}
+    for page, _, _, shard, _ in got:
+        where.setdefault(text[page], set()).add(shard)
+    assert all(len(found) == 1 for t, found in where.items() if t != "the same page" * 12) and len(where["the same page" * 12]) > 1
+
+
+def test_odd_rows(spark):
+    rows = [(1, None), (2, ""), (None, "x"), (None, None), (3, "y" * 100_000), (4, "a"), (4, "a"), (4, "b"), (5, "a")]
+    assert sharded(spark, rows, 4) == brute(rows, 4, 2)
+    assert sharded(spark, rows, 1) == brute(rows, 1, 2)
+    assert sharded(spark, [], 4) == []
+    same = [(7, "again")] * 500
+    assert sharded(spark, same, 10) == brute(same, 10, 2)
+    wide = spark.createDataFrame([(1, "a", 2, 3, 4)], PAGES + ", shard int, part_ int, page_bytes int")
+    assert [tuple(r)[3:] for r in page_shards.shard_pages(wide, Workspace(spark, "t")).collect()] == [(20, 0)]
+    for bad in ({"shards": 0}, {"whole_percent": 0}):
+        with pytest.raises(ValueError):
+            page_shards.shard_pages(wide, Workspace(spark, "t"), **bad)
+
+
+def test_given_pages_without_python_or_moved_html(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
+    got = page_shards.shard_pages(pages, Workspace(spark, "t"), shards=4)
+    rows = [(r.page_id, r.html) for r in pages.collect()]
+    assert sorted((tuple(r) for r in got.collect()), key=repr) == brute(rows, 4, 2)
+    plan = got._jdf.queryExecution().toString()
+    assert "Python" not in plan and "html" not in plan
