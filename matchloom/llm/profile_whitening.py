@@ -87,7 +87,7 @@ def pivoted_cholesky(scatter: np.ndarray) -> np.ndarray:
         rest -= np.outer(column, column)
         rest[pivot, :] = rest[:, pivot] = 0.0
         left = np.diag(rest).copy()
-    return np.array(columns).T.reshape(len(scatter), -1)
+    return np.array(columns).T.reshape(len(scatter), len(columns))
 
 
 def jacobi(factor: np.ndarray, sweeps: int = 60) -> tuple[np.ndarray, np.ndarray]:

@@ -98,35 +98,14 @@ def op3_page_language(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("language_pred").alias("lang_pred"), F.col("share").alias("score"))
 
 
-@query("op4_repeated_passages", r"""
-with d as (select doc_id, text, regexp_extract_all(text, '(?s).+?(?:[.!?]+[ \t\r\n]+|\n+|\z)') pieces from documents),
-p as (select doc_id, text, unnest(pieces) piece, generate_subscripts(pieces, 1) i from d),
-k as (select doc_id, i, lower(trim(piece, chr(32) || chr(9) || chr(13) || chr(10))) key from p),
-w as (select doc_id, i, key, len(string_split_regex(key, '[ \t\r\n]+')) words from k),
-r as (select doc_id, i, key k1, lead(key) over o k2, lead(key, 2) over o k3,
-        words + lead(words) over o + lead(words, 2) over o words from w window o as (partition by doc_id order by i)),
-n as (select doc_id, i, row_number() over (partition by k1, k2, k3 order by doc_id, i) occurrence
-      from r where k3 is not null and words >= 12),
-gone as (select distinct doc_id, unnest([i, i + 1, i + 2]) i from n where occurrence > 1),
-kept as (select p.doc_id, string_agg(piece, '' order by p.i) filter (where g.i is null) text, count(g.i) n_removed
-         from p left join gone g on g.doc_id = p.doc_id and g.i = p.i group by 1)
-select d.doc_id, case when coalesce(n_removed, 0) = 0 then d.text else coalesce(kept.text, '') end as text,
-       coalesce(len(pieces), 0)::bigint n_sentences, coalesce(n_removed, 0)::bigint n_removed
-from d left join kept using (doc_id)""")
-def op4_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    work = Workspace(spark, "op4")
-    return repeated_passages.drop_repeated_passages(documents(spark, sf_dir), work).withColumnsRenamed(
-        {"match_id": "doc_id", "page_text": "text"})
-
-
 @query("op4_repeated_spans", r"""
 with d as (select doc_id, text, regexp_extract_all(text, '(?s).+?(?:[.!?]+[ \t\r\n]+|\n+|\z)') pieces from documents),
 p as (select doc_id, text, unnest(pieces) piece, generate_subscripts(pieces, 1) i from d),
 k as (select doc_id, i, lower(trim(piece, chr(32) || chr(9) || chr(13) || chr(10))) key from p),
 w as (select doc_id, i, key, len(string_split_regex(key, '[ \t\r\n]+')) words from k),
 c as (select *, sum(words) over (partition by doc_id order by i) upto from w),
-pairs as (select a.doc_id, a.i i, b.i j from c a join c b on a.doc_id = b.doc_id and b.i between a.i + 1 and a.i + 11
-          and b.upto - a.upto + a.words >= 12),
+pairs as (select a.doc_id, a.i i, b.i j from c a join c b on a.doc_id = b.doc_id and b.i between a.i + 1 and a.i + 19
+          and b.upto - a.upto + a.words >= 20),
 spans as (select doc_id, i, min(j) j from pairs group by doc_id, i union select doc_id, max(i), j from pairs group by doc_id, j),
 keys as (select doc_id, list(key order by i) keys from k group by 1),
 n as (select doc_id, i, j, row_number() over (partition by keys[i:j] order by doc_id, i) occurrence from spans join keys using (doc_id)),
@@ -137,9 +116,9 @@ select d.doc_id, case when coalesce(n_removed, 0) = 0 then d.text else coalesce(
        coalesce(len(pieces), 0)::bigint n_sentences, coalesce(n_removed, 0)::bigint n_removed
 from d left join kept using (doc_id)""")
 def op4_repeated_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Any number of sentences from two on, where ``op4_repeated_passages`` is held to three by its SQL."""
-    work = Workspace(spark, "op4s")
-    return repeated_passages.drop_repeated_passages(documents(spark, sf_dir), work, run=2, extend=True).withColumnsRenamed(
+    """Two sentences or more that hold 20 words; shorter repeats are often chance."""
+    work = Workspace(spark, "op4")
+    return repeated_passages.drop_repeated_passages(documents(spark, sf_dir), work, run=2, min_words=20, extend=True).withColumnsRenamed(
         {"match_id": "doc_id", "page_text": "text"})
 
 

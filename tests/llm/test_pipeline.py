@@ -88,5 +88,5 @@ def test_run_gives_the_last_stage(spark, corpus, tmp_path):
 
 def test_registered_queries():
     names = [n for n in entry.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11)) and "pipeline" in entry.queries()
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14)) and "pipeline" in entry.queries()
     assert pipeline.ORACLE_SQL is None and "pipeline" not in entry.oracle_sql()
