@@ -9,7 +9,12 @@ likelihood less a penalty of ``PENALTY * log(words)`` per further language.
 Fitting uses whole texts of at most about ``SAMPLE_PAGES`` pages per language
 (those with the smallest hashes of id and text), counts trigrams in the tasks
 and brings the tables, ``2 ** HASH_BITS`` cells per language, to the driver.
-The number of languages is that of the training labels, at most ``MAX_LANGUAGES``.
+Every language of the training labels is told apart, however many there are; the model takes a
+quarter of a megabyte per language in each task.
+
+A text counts as its distinct words and their numbers, and texts are worked off in chunks of
+``CHUNK_CELLS`` characters x languages, so a task's memory follows neither its batch nor a long text's repetitions. No result
+depends on the chunks.
 
 Defined results: a null text, or one without a letter, is ``und`` with share 0,
 and so is every text when no training row has a language; texts with letters of no
@@ -20,30 +25,38 @@ besides the named ones are ignored.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+import sys
+from collections import Counter
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from matchloom.session import settle
+
 UNKNOWN = "und"
 HASH_BITS = 16
 SAMPLE_PAGES = 3000
-MAX_LANGUAGES = 256
 PENALTY = 4.0
 SMOOTHING = 0.1
 FLOOR = -20.0
 LEAST_SHARE = 0.5
 FULL_STEPS, SET_STEPS = 10, 6
-CHUNK_CHARS = 4_000_000
+CHUNK_CELLS = 1_600_000
 RUNS = re.compile(r"[^\W\d_]+")
 MODEL_SCHEMA = "language string, cell int, n long"
 GUESS_SCHEMA = "match_id long, language_pred string, share double, languages array<string>, shares array<double>"
 
+# Executors get these functions with the job; they need not have this package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
-def page_words(text: str | None) -> list[str]:
-    return RUNS.findall(text.lower()) if text else []
+def page_words(text: str | None) -> Counter[str]:
+    """Distinct words of a text and how often each occurs."""
+    return Counter(m.group() for m in RUNS.finditer(text.lower())) if text else Counter()
 
 
 def trigram_cells(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -60,8 +73,8 @@ def trigram_cells(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def sample_for_training(pages: DataFrame, sample: int) -> DataFrame:
-    """About ``sample`` whole pages per language, chosen by hash."""
-    counts = pages.groupBy("language").agg(F.count("*").alias("n"))
+    """About ``sample`` whole pages per language, chosen by hash. Counts are settled first; no text is shuffled."""
+    counts = settle(pages.groupBy("language").agg(F.count("*").alias("n")), "language_counts")
     rank = F.shiftrightunsigned(F.xxhash64("match_id", "page_text"), 1) / F.lit(float(1 << 63))
     return pages.join(counts, "language").where(rank * F.col("n") < sample).select("language", "page_text")
 
@@ -81,49 +94,54 @@ class LanguageModel:
         total = np.add.reduceat(self.log_p[cells], starts, axis=0)
         return np.exp(np.maximum(total - total.max(axis=1, keepdims=True), FLOOR)).astype(np.float64)
 
-    def shares(self, texts: list[list[str]]) -> np.ndarray:
+    def shares(self, texts: list[Counter[str]]) -> np.ndarray:
         """Language shares of each text (none empty) over its selected set; other languages are 0."""
-        distinct = list(set().union(*texts))
+        distinct = list(dict.fromkeys(w for text in texts for w in text))
         place = dict(zip(distinct, range(len(distinct)), strict=True))
         words = np.fromiter((place[w] for text in texts for w in text), np.int64)
+        counts = np.fromiter((n for text in texts for n in text.values()), np.float64)
         sizes = np.array([len(text) for text in texts], np.int64)
-        return select_languages(self.word_likelihoods(distinct)[words], sizes)
+        return select_languages(self.word_likelihoods(distinct)[words], counts, sizes)
 
 
-def em(likelihood: np.ndarray, sizes: np.ndarray, shares: np.ndarray, steps: int) -> tuple[np.ndarray, np.ndarray]:
-    """Shares after ``steps`` rounds, and each text's log-likelihood under them."""
+def em(likelihood: np.ndarray, sizes: np.ndarray, shares: np.ndarray, steps: int, counts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Shares after ``steps`` rounds, and each text's log-likelihood under them; a row is a word of a text, which has it ``counts`` times."""
+    counts = np.ones(len(likelihood)) if counts is None else counts
     owner = np.repeat(np.arange(len(sizes)), sizes)
     starts = np.cumsum(sizes) - sizes
+    totals = np.add.reduceat(counts, starts)
     for _ in range(steps):
         joint = likelihood * shares[owner]
-        joint /= joint.sum(axis=1, keepdims=True)
-        shares = np.add.reduceat(joint, starts, axis=0) / sizes[:, None]
+        joint *= (counts / joint.sum(axis=1))[:, None]
+        shares = np.add.reduceat(joint, starts, axis=0) / totals[:, None]
     mixed = np.maximum((likelihood * shares[owner]).sum(axis=1), 1e-300)
-    return shares, np.add.reduceat(np.log(mixed), starts)
+    return shares, np.add.reduceat(counts * np.log(mixed), starts)
 
 
-def select_languages(likelihood: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+def select_languages(likelihood: np.ndarray, counts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """Add languages in the order of their full-mixture shares while the penalised likelihood grows."""
     texts, languages = len(sizes), likelihood.shape[1]
-    full, _ = em(likelihood, sizes, np.full((texts, languages), 1.0 / languages), FULL_STEPS)
+    full, _ = em(likelihood, sizes, np.full((texts, languages), 1.0 / languages), FULL_STEPS, counts)
     order = np.argsort(-full, axis=1, kind="stable")
     best = np.zeros((texts, languages))
     best[np.arange(texts), order[:, 0]] = 1.0
-    score = em(likelihood, sizes, best, 0)[1]
+    score = em(likelihood, sizes, best, 0, counts)[1]
+    cost = PENALTY * np.log(np.add.reduceat(counts, np.cumsum(sizes) - sizes) + 1.0)
+    owner = np.repeat(np.arange(texts), sizes)
     active = np.arange(texts)
     for size in range(2, languages + 1):
-        owner = np.repeat(np.arange(texts), sizes)
         chosen = np.zeros(texts, bool)
         chosen[active] = True
         start = np.zeros((len(active), languages))
         rows = np.arange(len(active))[:, None]
         start[rows, order[active, :size]] = full[active][rows, order[active, :size]] + 1e-9
         start /= start.sum(axis=1, keepdims=True)
-        shares, found = em(likelihood[chosen[owner]], sizes[active], start, SET_STEPS)
-        better = found - PENALTY * np.log(sizes[active] + 1.0) * (size - 1) > score[active]
+        shares, found = em(likelihood[chosen[owner]], sizes[active], start, SET_STEPS, counts[chosen[owner]])
+        found -= cost[active] * (size - 1)
+        better = found > score[active]
         improved = active[better]
         best[improved] = shares[better]
-        score[improved] = (found - PENALTY * np.log(sizes[active] + 1.0) * (size - 1))[better]
+        score[improved] = found[better]
         active = improved
         if not len(active):
             break
@@ -135,11 +153,13 @@ def fit_languages(pages: DataFrame, *, sample: int = SAMPLE_PAGES) -> LanguageMo
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables: dict[str, np.ndarray] = {}
         for batch in batches:
-            for language, text in zip(*batch.to_pydict().values(), strict=True):
-                words = page_words(text)
+            for language, text in zip(*batch.columns, strict=True):
+                words, language = page_words(text.as_py()), language.as_py()
                 if words:
-                    cells = np.bincount(trigram_cells(words)[0], minlength=1 << HASH_BITS)
-                    tables[language] = tables[language] + cells if language in tables else cells
+                    cells, owner = trigram_cells(list(words))
+                    times = np.fromiter(words.values(), np.float64)[owner]
+                    found = np.bincount(cells, times, minlength=1 << HASH_BITS).astype(np.int64)
+                    tables[language] = tables[language] + found if language in tables else found
         for language, table in tables.items():
             cells = np.flatnonzero(table)
             yield pa.RecordBatch.from_arrays([pa.array([language] * len(cells)), pa.array(cells, pa.int32()),
@@ -149,8 +169,6 @@ def fit_languages(pages: DataFrame, *, sample: int = SAMPLE_PAGES) -> LanguageMo
                .groupBy("language", "cell").agg(F.sum("n").alias("n")))
     found = counted.toArrow()
     languages = sorted(set(found["language"].to_pylist()))
-    if len(languages) > MAX_LANGUAGES:
-        raise ValueError(f"{len(languages)} languages; at most {MAX_LANGUAGES} can be told apart")
     counts = np.zeros((len(languages), 1 << HASH_BITS))
     if languages:
         rows = np.searchsorted(np.array(languages), np.array(found["language"].to_pylist()))
@@ -165,8 +183,7 @@ def guess_languages(pages: DataFrame, model: LanguageModel) -> DataFrame:
     """
     def guess(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            columns = batch.to_pydict()
-            for ids, texts in chunks(columns["match_id"], columns["page_text"]):
+            for ids, texts in chunks(model, *batch.columns):
                 yield pa.RecordBatch.from_pylist(guesses(model, ids, texts), schema=pa.schema([
                     ("match_id", pa.int64()), ("language_pred", pa.string()), ("share", pa.float64()),
                     ("languages", pa.list_(pa.string())), ("shares", pa.list_(pa.float64()))]))
@@ -181,25 +198,29 @@ def keep_known_languages(pages: DataFrame, model: LanguageModel, *, least_share:
     """
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [row for ids, texts in chunks([None] * batch.num_rows, batch.column("page_text").to_pylist())
-                     for row in guesses(model, ids, texts)]
-            yield batch.filter(pa.array([row["language_pred"] != UNKNOWN and row["share"] >= least_share for row in found], pa.bool_()))
+            texts = batch.column("page_text")
+            found = [row["language_pred"] != UNKNOWN and row["share"] >= least_share
+                     for ids, part in chunks(model, pa.nulls(len(texts)), texts) for row in guesses(model, ids, part)]
+            yield batch.filter(pa.array(found, pa.bool_()))
     return pages.mapInArrow(keep, pages.schema)
 
 
-def chunks(ids: list, texts: list[str | None]) -> Iterator[tuple[list, list[str | None]]]:
-    begin = size = 0
-    for k, text in enumerate(texts):
-        size += len(text or "")
-        if size >= CHUNK_CHARS:
-            yield ids[begin:k + 1], texts[begin:k + 1]
-            begin, size = k + 1, 0
-    if begin < len(texts):
-        yield ids[begin:], texts[begin:]
+def chunks(model: LanguageModel, ids: Iterable, texts: Iterable) -> Iterator[tuple[list, list[Counter[str]]]]:
+    """Ids and words of the texts, a bounded number of characters x languages at a time."""
+    held, words, size = [], [], 0
+    for match_id, text in zip(ids, texts, strict=True):
+        text = text.as_py()
+        held.append(match_id.as_py())
+        words.append(page_words(text))
+        size += (len(text or "") + 1) * max(len(model.languages), 4)
+        if size >= CHUNK_CELLS:
+            yield held, words
+            held, words, size = [], [], 0
+    if held:
+        yield held, words
 
 
-def guesses(model: LanguageModel, ids: list, texts: list[str | None]) -> list[dict]:
-    words = [page_words(text) for text in texts]
+def guesses(model: LanguageModel, ids: list, words: list[Counter[str]]) -> list[dict]:
     # The pattern also takes numerals such as fractions; a text of those alone has no letter.
     known = [bool(model.languages) and any(c.isalpha() for w in found for c in w) for found in words]
     spoken = [found for found, ok in zip(words, known, strict=True) if ok]

@@ -98,3 +98,54 @@ def test_quality_of_odd_rows(spark):
         scores = quality.score_quality(pages, model).collect()
         assert len(scores) == 5 and all(abs(r.quality_score - expected) < 1e-9 for r in scores)
     assert quality.score_quality(pages.limit(0), model).count() == 0
+
+
+def test_chunks_change_nothing(spark, trained, monkeypatch):
+    rng = random.Random(6)
+    rows = [(k, " ".join(prose(rng, tongue, rng.randint(1, 80)) for tongue in rng.sample(list(SYLLABLES), rng.randint(1, 3)))) for k in range(60)]
+    usual = guesses(spark, trained, rows)
+    for cells in (1, 3000):
+        monkeypatch.setattr(language, "CHUNK_CELLS", cells)
+        small = guesses(spark, trained, rows)
+        assert all(small[k].languages == usual[k].languages and np.allclose(small[k].shares, usual[k].shares, atol=1e-9) for k in usual)
+
+
+def test_language_sets_against_every_set(trained):
+    """The chosen set is the one with the best penalised likelihood among all sets of languages."""
+    rng = random.Random(7)
+    texts = [" ".join(prose(rng, tongue, rng.randint(40, 90)) for tongue in rng.sample(list(SYLLABLES), size)) for size in (1, 2, 3) for _ in range(6)]
+    for text in texts:
+        words = language.page_words(text)
+        likelihood = np.repeat(trained.word_likelihoods(list(words)), list(words.values()), axis=0)
+        total = len(likelihood)
+        scores = {}
+        for mask in range(1, 8):
+            members = [k for k in range(3) if mask >> k & 1]
+            start = np.zeros((1, 3))
+            start[0, members] = 1 / len(members)
+            found = language.em(likelihood, np.array([total]), start, 200)[1][0]
+            scores[mask] = found - language.PENALTY * np.log(total + 1) * (len(members) - 1)
+        best = max(scores, key=scores.get)
+        shares = trained.shares([words])[0]
+        assert sum(1 << k for k in range(3) if shares[k] > 0) == best
+
+
+def test_more_labels_than_a_few_hundred(spark):
+    rows = [(k, f"{'bcdfghklmnprstvz'[k % 16]}{'aeiou'[k // 16 % 5]}{'bcdfg'[k // 80]}o " * 20, f"label{k:03d}") for k in range(300)]
+    model = language.fit_languages(spark.createDataFrame(rows, LANGUAGES))
+    assert len(model.languages) == 300
+    got = guesses(spark, model, [r[:2] for r in rows[::30]])
+    assert all(got[k].language_pred == f"label{k:03d}" for k in got)
+
+
+def test_scores_are_sums_of_table_entries():
+    rng = np.random.default_rng(8)
+    x = rng.random((600, len(quality.FEATURES)))
+    model = quality.AdditiveModel(x, ((x[:, 1] > 0.4) ^ (x[:, 3] > 0.7)).astype(float))
+    for row, score in zip(x[:80], model.score(x[:80]), strict=True):
+        margin = model.base
+        for value, edges, table in zip(row, model.edges, model.tables, strict=True):
+            margin += table[sum(edge <= value for edge in edges)]
+        for (i, j), table in zip(model.pairs, model.pair_tables, strict=True):
+            margin += table[sum(e <= row[i] for e in model.pair_edges[i])][sum(e <= row[j] for e in model.pair_edges[j])]
+        assert abs(score - 1 / (1 + np.exp(-max(-30, min(30, margin))))) < 1e-12
