@@ -13,7 +13,7 @@ The tokenizer's vocabulary file is a parameter and is read where tasks run.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +25,8 @@ MAX_LENGTH = 4096
 END_ID = 2
 CACHED_WORDS = 600_000
 WORDS_PER_LINE = 500
-CHUNK_BYTES = 8 << 20
+LINES_AT_ONCE = 16
+CHUNK_BYTES = 1 << 20
 PIECE_SCHEMA = ("match_id long, start long, length long, token_ids binary, page_tokens long, sequence_id long, "
                 "offset long")
 
@@ -44,17 +45,22 @@ class WordTokens:
         self.known: dict[bytes, bytes] = {}
 
     def learn(self, words: list[bytes]) -> dict[bytes, bytes]:
-        """Little-endian ids of new words, from lines of many words; token places tell the words apart."""
+        """Little-endian ids of new words, from lines of many words; token places tell the words apart.
+
+        A few lines at a time: the tokenizer's own results take hundreds of bytes a token.
+        """
         found: dict[bytes, bytes] = {}
         lines = [words[k:k + WORDS_PER_LINE] for k in range(0, len(words), WORDS_PER_LINE)]
-        texts = [[w.decode() for w in line] for line in lines]
-        encodings = self.tokenizer.encode_batch(["\n".join(text) for text in texts], add_special_tokens=False)
-        for line, text, encoding in zip(lines, texts, encodings, strict=True):
-            starts = np.cumsum([0, *(len(w) + 1 for w in text)])
-            begins = np.array([a for a, _ in encoding.offsets], np.int64)
-            cuts = np.searchsorted(begins, starts) * 4
-            raw = np.array(encoding.ids, "<u4").tobytes()
-            found.update((w, raw[a:b]) for w, a, b in zip(line, cuts.tolist(), cuts[1:].tolist(), strict=False))
+        for first in range(0, len(lines), LINES_AT_ONCE):
+            some = lines[first:first + LINES_AT_ONCE]
+            texts = [[w.decode() for w in line] for line in some]
+            encodings = self.tokenizer.encode_batch(["\n".join(text) for text in texts], add_special_tokens=False)
+            for line, text, encoding in zip(some, texts, encodings, strict=True):
+                starts = np.cumsum([0, *(len(w) + 1 for w in text)])
+                begins = np.array([a for a, _ in encoding.offsets], np.int64)
+                cuts = np.searchsorted(begins, starts) * 4
+                raw = np.array(encoding.ids, "<u4").tobytes()
+                found.update((w, raw[a:b]) for w, a, b in zip(line, cuts.tolist(), cuts[1:].tolist(), strict=False))
         return found
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
@@ -85,15 +91,18 @@ def binary_lengths(tokens: int, longest: int = MAX_LENGTH) -> list[int]:
     return [longest] * (tokens // longest) + [1 << k for k in range(rest.bit_length() - 1, -1, -1) if rest >> k & 1]
 
 
-def chunks(ids: list, texts: list[bytes]) -> Iterator[tuple[list, list[bytes]]]:
-    begin = size = 0
-    for k, text in enumerate(texts):
-        size += len(text)
+def chunks(ids: Iterable, texts: Iterable) -> Iterator[tuple[list, list[bytes]]]:
+    """Ids and texts, about ``CHUNK_BYTES`` of text at a time; a batch is never held as Python objects."""
+    held, some, size = [], [], 0
+    for match_id, text in zip(ids, texts, strict=True):
+        held.append(match_id.as_py())
+        some.append(text.as_py())
+        size += len(some[-1])
         if size >= CHUNK_BYTES:
-            yield ids[begin:k + 1], texts[begin:k + 1]
-            begin, size = k + 1, 0
-    if begin < len(texts):
-        yield ids[begin:], texts[begin:]
+            yield held, some
+            held, some, size = [], [], 0
+    if held:
+        yield held, some
 
 
 def pack_pages(pages: DataFrame, vocabulary: str, *, longest: int = MAX_LENGTH) -> DataFrame:
@@ -107,8 +116,7 @@ def pack_pages(pages: DataFrame, vocabulary: str, *, longest: int = MAX_LENGTH)
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         engine, sequence = word_tokens(vocabulary), TaskContext.get().partitionId() << 36
         for batch in batches:
-            columns = batch.to_pydict()
-            for match_ids, texts in chunks(columns["match_id"], columns["page_text"]):
+            for match_ids, texts in chunks(*batch.columns):
                 ids = engine.encode(texts)
                 counts = np.array([len(x) // 4 for x in ids], np.int64)
                 per_page = [binary_lengths(n, longest) for n in counts.tolist()]
