@@ -146,14 +146,16 @@ def page_sets(rows: DataFrame, words: int, work: Workspace) -> DataFrame:
     """
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [shingle_set(text, words) for text in batch.column("page_text").to_pylist()]
-            sizes = np.array([len(x) for x in sets], np.int64)
-            offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
-            flat = np.concatenate([*sets, np.zeros(0, np.uint64)]).view(np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(name) for name in ("text_a", "text_b", "match_id")), pa.array(sizes),
-                 pa.array([parity_sketch(x) for x in sets], pa.list_(pa.int64())), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))],
-                names=["text_a", "text_b", "match_id", "n_shingles", "sketch", "shingles"])
+            for first in range(0, batch.num_rows, PAGES_PER_BATCH):
+                some = batch.slice(first, PAGES_PER_BATCH)
+                sets = [shingle_set(text.as_py(), words) for text in some.column("page_text")]
+                sizes = np.array([len(x) for x in sets], np.int64)
+                offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+                flat = np.concatenate([*sets, np.zeros(0, np.uint64)]).view(np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [*(some.column(name) for name in ("text_a", "text_b", "match_id")), pa.array(sizes),
+                     pa.array([parity_sketch(x) for x in sets], pa.list_(pa.int64())), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))],
+                    names=["text_a", "text_b", "match_id", "n_shingles", "sketch", "shingles"])
     texts = rows.groupBy("text_a", "text_b").agg(F.min("match_id").alias("match_id"),
                                                  F.first("page_text").cast("binary").alias("page_text"))
     return work.settle(texts.mapInArrow(measure, SET_SCHEMA).withColumn("page", F.monotonically_increasing_id()), "sets")

@@ -13,6 +13,7 @@ The tokenizer's vocabulary file is a parameter and is read where tasks run.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -23,7 +24,7 @@ from pyspark.sql import functions as F
 
 MAX_LENGTH = 4096
 END_ID = 2
-CACHED_WORDS = 600_000
+CACHED_WORDS = 250_000
 WORDS_PER_LINE = 500
 LINES_AT_ONCE = 16
 CHUNK_BYTES = 1 << 20
@@ -81,6 +82,7 @@ ENGINES: dict[str, WordTokens] = {}
 
 def word_tokens(path: str) -> WordTokens:
     if path not in ENGINES:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core; idle threads would only hold memory
         ENGINES[path] = WordTokens(path)
     return ENGINES[path]
 
