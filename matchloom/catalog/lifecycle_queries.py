@@ -44,14 +44,17 @@ def _(spark, sf):
     return event_state(spark, sf)
 
 
-@query("state_replay_requeue", f"""
+REQUEUED_SQL = f"""
     with {FOLDED.strip()}
     select s.id, s.url, f.s.op as status, s.first_seen_at, s.last_seen_at, s.last_attempted_at,
       p.last_processed_at, s.last_failed_at, s.failure_count, s.last_error_message, s.source, s.priority,
       f.s.ts as last_updated_at
     from state s join folded f on f.id = s.id
     left join (select id, max(ts) as last_processed_at from live_log where op = 'processed' and seq % 3 <> 0
-               group by id) p on p.id = s.id""", "state")
+               group by id) p on p.id = s.id"""
+
+
+@query("state_replay_requeue", REQUEUED_SQL, "state")
 def _(spark, sf):
     return lc.apply_log(adapter.requeue_log(raw_table(spark, sf, "events")))
 
