@@ -74,7 +74,11 @@ def int_player_current_team(enriched: DataFrame) -> DataFrame:
 
 
 def fact_matches(matches: DataFrame, maps: DataFrame) -> DataFrame:
-    counts = maps.groupBy("match_id").agg(F.count(F.lit(1)).alias("map_count"))
+    return fact_matches_counted(matches, maps.groupBy("match_id").agg(F.count(F.lit(1)).alias("map_count")))
+
+
+def fact_matches_counted(matches: DataFrame, counts: DataFrame) -> DataFrame:
+    """The fact from matches and their number of maps."""
     joined = matches.join(counts, "match_id", "left")
     return joined.select(
         "match_id", "event", "team1", "team2", "score1", "score2",
