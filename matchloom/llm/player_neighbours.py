@@ -17,7 +17,8 @@ all shards below it. At length 0 a query sees every profile, so it always ends.
 Defined results: profiles that are null, zero, of another length than the most
 common one, or hold null or non-finite numbers take no part; equal profiles are
 indexed once, with their ids counted in full for ties (the ``k + 1`` smallest
-suffice); several rows of one player with one profile are one candidate, and none of
+suffice), and so are profiles that differ by a power of two alone, whose cosines are the same;
+finite entries of any magnitude count; several rows of one player with one profile are one candidate, and none of
 a player's own rows is a neighbour of that player. Fewer than ``k`` candidates give fewer rows.
 Columns besides the two are ignored.
 """
@@ -68,11 +69,16 @@ def usable(profiles: DataFrame) -> DataFrame:
         F.col("player_id").isNotNull() & F.col("profile").isNotNull() & fine & F.exists("profile", lambda v: v != 0))
 
 
+def scaled(profile: np.ndarray) -> np.ndarray:
+    """The profile with its largest entry between a half and one, by a power of two: cosines stay, and no square overflows."""
+    return np.ldexp(profile, -np.frexp(np.abs(profile).max())[1])
+
+
 def pack_profiles(profiles: DataFrame, work: Workspace) -> tuple[DataFrame, int]:
     """Settled ``player_id``, ``packed`` (little-endian doubles), ``content`` hash; and the common length."""
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [np.asarray(v, "<f8") + 0.0 for v in batch.column("profile").to_pylist()]
+            rows = [scaled(np.asarray(v, "<f8") + 0.0) for v in batch.column("profile").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("player_id"), pa.array([r.tobytes() for r in rows], pa.binary()),
                                               pa.array([len(r) for r in rows], pa.int32())],
                                              names=["player_id", "packed", "width"])

@@ -64,3 +64,13 @@ def test_few_candidates_and_empty_table(spark):
     assert found(spark, [(1, [1.0, 0.0])], [1]) == {} and found(spark, [], [1]) == {}
     wide = spark.createDataFrame([(1, [1.0], 2, "x"), (2, [3.0], 2, "x")], SCHEMA + ", rank int, packed string")
     assert forest.similar_players(wide, wide, Workspace(spark, "t")).count() == 2
+
+
+def test_extreme_magnitudes(spark):
+    plain = [(1, [2.0, 1.0]), (2, [1.0, 1.0]), (3, [1.0, 2.0]), (4, [-1.0, 0.5])]
+    size = {1: 1e200, 2: 1e-200, 3: 1e307, 4: 5e-324}
+    rows = [(i, [x * size[i] for x in v]) for i, v in plain[:3]] + [(4, [-5e-324, 0.0])]
+    wanted = {1: [2, 3, 4], 2: [1, 3, 4], 3: [2, 1, 4], 4: [3, 2, 1]}
+    got = found(spark, rows, [1, 2, 3, 4])
+    assert {q: [i for i, _ in near] for q, near in got.items()} == wanted
+    assert abs(got[1][0][1] - 3 / np.sqrt(10)) < 1e-9 and got[4][0][1] == round(-1 / np.sqrt(5), 9)
