@@ -5,15 +5,15 @@ The project stores no dialogues, so the operator is general: rows ``conv_id``,
 ``system``) the whole dialogue is rendered with that speaker as assistant, all
 others as named users, and loss spans over the assistant's own words.
 
-Long dialogues come in parts of ``PART_TURNS`` turn numbers, and a part with
-more than ``PART_ROWS`` rows is split again by turn and row hash, so no task
-ever gathers a whole dialogue of unbounded length; parts in order are the
-dialogue. Only DataFrame functions are used.
+Turns are numbered within their dialogue, and a part holds ``PART_ROWS`` of
+them, so no task ever gathers more than that of a dialogue; parts in order are the
+dialogue. The numbers come from one order of all turns, cut into ranges
+of which a long dialogue fills many. Only DataFrame functions are used.
 
 Defined results: a null speaker is ``unknown``, a null text is empty, null turns
 come first (as turn -1); identical rows are one; different rows with one turn
-number are ordered by hash, speaker and text; a dialogue of system turns alone
-has no participant and no view. Columns besides the four are ignored.
+number are ordered by the digests of speaker and text; rows with a null ``conv_id`` are one
+dialogue; a dialogue of system turns alone has no participant and no view. Columns besides the four are ignored.
 """
 
 from __future__ import annotations
@@ -21,10 +21,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from matchloom.llm.running import NUMBER, before_each
 from matchloom.session import Workspace
 
-PART_TURNS = 64
-PART_ROWS = 4096
+PART_ROWS = 64
 SYSTEM = "system"
 
 
@@ -34,79 +34,48 @@ def dialogue_turns(turns: DataFrame) -> DataFrame:
         F.coalesce("speaker", F.lit("unknown")).alias("speaker"), F.coalesce("text", F.lit("")).alias("text")).distinct()
 
 
-def placed(turns: DataFrame, work: Workspace) -> DataFrame:
-    """Turns with the part they belong to and, in oversized parts, a second split."""
-    rows = turns.withColumn("part", F.floor(F.col("turn") / PART_TURNS)).withColumn(
-        "row_hash", F.xxhash64("speaker", "text"))
-    oversized = work.settle(rows.groupBy("conv_id", "part").agg(F.count("*").alias("rows"))
-                            .where(F.col("rows") > PART_ROWS), "oversized")
-    # The hash, shifted to 0..2^32-1, is cut into equal ranges: order by hash stays order by slice.
-    unsigned = F.shiftright("row_hash", 32) + F.lit(1 << 31)
-    slices = F.ceil(F.col("rows") / PART_ROWS)
-    cut = oversized.select(F.col("conv_id").alias("cut_conv_id"), F.col("part").alias("cut_part"), "rows")
-    here = F.col("conv_id").eqNullSafe(F.col("cut_conv_id")) & (F.col("part") == F.col("cut_part"))
-    return rows.join(cut, here, "left").withColumn(
-        "slice", F.when(F.col("rows").isNotNull(), F.struct("turn", F.floor(unsigned * slices / F.lit(1 << 32)).cast("long").alias("n")))
-    ).drop("rows", "cut_conv_id", "cut_part")
+def numbered_turns(turns: DataFrame, work: Workspace) -> DataFrame:
+    """Turns with ``number_``, the turns before them in the order of dialogues, turn numbers and digests."""
+    rows = work.settle(dialogue_turns(turns).withColumn("digest", F.concat(F.md5("speaker"), F.md5("text"))), "turns")
+    numbered = before_each(rows, work, "numbered", [F.col("conv_id").asc_nulls_first(), F.col("turn"), F.col("digest")], {})
+    work.drop("turns")  # the numbered table has taken its place
+    return numbered.select("conv_id", "speaker", "text", NUMBER)
 
 
-def render(segments: Column) -> Column:
-    """Text and spans of ordered segments ``head``, ``body``, ``own``."""
-    start = F.struct(F.lit("").alias("rendered"),
-                     F.array().cast("array<struct<start:bigint,end:bigint>>").alias("spans"))
+def render(segments: Column) -> tuple[Column, Column]:
+    """Text of ordered segments ``head``, ``body``, ``own``, and the spans of those that are the assistant's own."""
+    start = F.struct(F.lit(0).cast("long").alias("end"), F.array().cast("array<struct<start:bigint,end:bigint>>").alias("spans"))
 
     def add(done: Column, segment: Column) -> Column:
-        begin = (F.length(done["rendered"]) + F.length(segment["head"])).cast("long")
-        span = F.array(F.struct(begin.alias("start"), (begin + F.length(segment["body"])).cast("long").alias("end")))
-        return F.struct(F.concat(done["rendered"], segment["head"], segment["body"], F.lit("\n")).alias("rendered"),
-                        F.when(segment["own"], F.concat(done["spans"], span)).otherwise(done["spans"]).alias("spans"))
-    return F.aggregate(segments, start, add)
+        begin = done["end"] + F.length(segment["head"])
+        end = begin + F.length(segment["body"])
+        span = F.array(F.struct(begin.alias("start"), end.alias("end")))
+        return F.struct((end + 1).alias("end"), F.when(segment["own"], F.concat(done["spans"], span)).otherwise(done["spans"]).alias("spans"))
+    lines = F.transform(segments, lambda s: F.concat(s["head"], s["body"], F.lit("\n")))
+    return F.array_join(lines, ""), F.aggregate(segments, start, add, lambda done: done["spans"])
 
 
 def perspective_views(turns: DataFrame, work: Workspace) -> DataFrame:
-    """One row per dialogue, participant, part and slice: ``conv_id``, ``perspective``, ``part``, ``slice``, ``n_turns``,
-    ``rendered``, ``loss_spans`` (start and end characters of what the model learns to say).
-
-    ``slice`` is null for a part in one piece, else the turn and number that order the pieces; spans count from the
-    start of their piece. ``whole_parts`` puts pieces together.
+    """One row per dialogue, participant and part: ``conv_id``, ``perspective``, ``part``, ``n_turns``, ``rendered``,
+    ``loss_spans`` (start and end characters in the part of what the model learns to say).
 
     Participants are settled before the join, so Spark can split the turns of a
     very long dialogue. Views are one per participant and turn by definition.
     """
-    rows = placed(dialogue_turns(turns), work)
-    people = work.settle(turns.select("conv_id", F.coalesce("speaker", F.lit("unknown")).alias("perspective"))
-                         .where(F.col("perspective") != SYSTEM).distinct(), "participants")
+    rows = numbered_turns(turns, work)
+    speakers = work.settle(rows.groupBy("conv_id", "speaker").agg(F.min(NUMBER).alias("first")), "speakers")
+    starts = speakers.groupBy("conv_id").agg(F.min("first").alias("first"))
+    same_dialogue = F.col("s.conv_id").eqNullSafe(F.col("d.conv_id"))
+    people = work.settle(speakers.where(F.col("speaker") != SYSTEM).alias("s").join(starts.alias("d"), same_dialogue)
+                         .select("s.conv_id", F.col("speaker").alias("perspective"), "d.first"), "participants")
     own = F.col("speaker") == F.col("perspective")
     head = (F.when(own, F.lit("<|assistant|>")).when(F.col("speaker") == SYSTEM, F.lit("<|system|>"))
             .otherwise(F.concat(F.lit("<|user name="), F.col("speaker"), F.lit("|>"))))
-    segment = F.struct("turn", "row_hash", "speaker", "text", F.concat(head, F.lit("\n")).alias("head"),
-                       F.concat("text", F.lit("<|end|>")).alias("body"), own.alias("own"))
+    segment = F.struct(NUMBER, F.concat(head, F.lit("\n")).alias("head"), F.concat("text", F.lit("<|end|>")).alias("body"), own.alias("own"))
     same = F.col("t.conv_id").eqNullSafe(F.col("p.conv_id"))
-    joined = rows.alias("t").join(people.alias("p"), same).select("t.*", "perspective")
-    views = joined.groupBy("conv_id", "perspective", "part", "slice").agg(F.sort_array(F.collect_list(segment)).alias("segments"))
-    return views.withColumn("view", render(F.col("segments"))).select(
-        "conv_id", "perspective", "part", "slice", F.size("segments").cast("long").alias("n_turns"),
-        F.col("view.rendered").alias("rendered"), F.col("view.spans").alias("loss_spans"))
-
-
-def whole_parts(views: DataFrame) -> DataFrame:
-    """Views with one row per dialogue, participant and part at any size, spans counted from the start of the part.
-
-    A part that was cut is one row again, so its text must fit a task and a row. Pieces come rendered; parts that
-    were not cut are passed on without a shuffle.
-    """
-    names = ["conv_id", "perspective", "part", "n_turns", "rendered", "loss_spans"]
-    start = F.struct(F.lit("").alias("rendered"), F.array().cast("array<struct<start:bigint,end:bigint>>").alias("spans"))
-
-    def add(done: Column, piece: Column) -> Column:
-        begin = F.length(done["rendered"]).cast("long")
-        spans = F.transform(piece["loss_spans"], lambda s: F.struct((s["start"] + begin).alias("start"), (s["end"] + begin).alias("end")))
-        return F.struct(F.concat(done["rendered"], piece["rendered"]).alias("rendered"),
-                        F.concat(done["spans"], spans).alias("spans"))
-
-    pieces = F.sort_array(F.collect_list(F.struct("slice", "rendered", "loss_spans"))).alias("pieces")
-    merged = (views.where(F.col("slice").isNotNull()).groupBy("conv_id", "perspective", "part")
-              .agg(F.sum("n_turns").alias("n_turns"), pieces)
-              .withColumn("view", F.aggregate("pieces", start, add))
-              .withColumns({"rendered": F.col("view.rendered"), "loss_spans": F.col("view.spans")}))
-    return views.where(F.col("slice").isNull()).select(*names).unionByName(merged.select(*names))
+    joined = rows.alias("t").join(people.alias("p"), same).select(
+        "t.*", "perspective", F.floor((F.col(NUMBER) - F.col("first")) / PART_ROWS).alias("part"))
+    views = joined.groupBy("conv_id", "perspective", "part").agg(F.sort_array(F.collect_list(segment)).alias("segments"))
+    rendered, spans = render(F.col("segments"))
+    return views.select("conv_id", "perspective", "part", F.size("segments").cast("long").alias("n_turns"),
+                        rendered.alias("rendered"), spans.alias("loss_spans"))

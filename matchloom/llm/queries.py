@@ -182,25 +182,25 @@ def op9_player_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("op10_dialogue_views", """
-with t as (select distinct conv_id, coalesce(turn, -1) turn, coalesce(role, 'unknown') speaker, coalesce(text, '') text from conversations),
+with d as (select distinct conv_id, coalesce(turn, -1) turn, coalesce(role, 'unknown') speaker, coalesce(text, '') text from conversations),
+t as (select *, row_number() over (partition by conv_id order by turn, md5(speaker) || md5(text)) - 1 number from d),
 p as (select distinct conv_id, speaker perspective from t where speaker <> 'system'),
-s as (select t.conv_id, perspective, turn, floor(turn / 64.0)::bigint part, speaker = perspective own,
+s as (select t.conv_id, perspective, number, number // 64 part, speaker = perspective own,
         case when speaker = perspective then '<|assistant|>' when speaker = 'system' then '<|system|>'
              else concat('<|user name=', speaker, '|>') end || chr(10) head,
         text || '<|end|>' body
       from t join p on t.conv_id is not distinct from p.conv_id),
 o as (select *, coalesce(sum(length(head) + length(body) + 1) over (
-        partition by conv_id, perspective, part order by turn rows between unbounded preceding and 1 preceding), 0) + length(head) begins
+        partition by conv_id, perspective, part order by number rows between unbounded preceding and 1 preceding), 0) + length(head) begins
       from s)
-select conv_id, perspective, part, count(*) n_turns, string_agg(head || body || chr(10), '' order by turn) rendered,
-       coalesce(string_agg(case when own then concat(begins::bigint, '-', (begins + length(body))::bigint) end, ',' order by turn), '') loss_spans
+select conv_id, perspective, part, count(*) n_turns, string_agg(head || body || chr(10), '' order by number) rendered,
+       coalesce(string_agg(case when own then concat(begins::bigint, '-', (begins + length(body))::bigint) end, ',' order by number), '') loss_spans
 from o group by 1, 2, 3""")
 def op10_dialogue_views(spark: SparkSession, sf_dir: str) -> DataFrame:
     work = Workspace(spark, "op10")
     turns = table(spark, sf_dir, "conversations").withColumnRenamed("role", "speaker")
     spans = F.transform("loss_spans", lambda s: F.concat_ws("-", s["start"], s["end"]))
-    return dialogue_views.whole_parts(dialogue_views.perspective_views(turns, work)).select(
-        "conv_id", "perspective", "part", "n_turns", "rendered", F.array_join(spans, ",").alias("loss_spans"))
+    return dialogue_views.perspective_views(turns, work).withColumn("loss_spans", F.array_join(spans, ","))
 
 
 # The table for one byte of a CRC-32, from its polynomial.

@@ -1,6 +1,8 @@
 """Perspective views of dialogues: rendering, masks, parts."""
 
+import hashlib
 import random
+import time
 
 from matchloom.llm import dialogue_views as views
 from matchloom.session import Workspace
@@ -8,26 +10,32 @@ from matchloom.session import Workspace
 SCHEMA = "conv_id long, turn long, speaker string, text string"
 
 
+def in_order(turns, conv):
+    def digest(speaker, text):
+        return "".join(hashlib.md5(x.encode()).hexdigest() for x in (speaker, text))
+    return sorted((r for r in turns if r[0] == conv), key=lambda r: (r[1], digest(r[2], r[3])))
+
+
 def brute(turns):
     """Whole views, joined over their parts: text, and the words the model learns."""
     clean = {(c, -1 if t is None else t, s or "unknown", x or "") for c, t, s, x in turns}
     out = {}
     for conv, who in {(c, s) for c, _, s, _ in clean if s != "system"}:
         segments = []
-        for _, t, s, x in sorted((r for r in clean if r[0] == conv), key=lambda r: r[1:]):
+        for _, _t, s, x in in_order(clean, conv):
             head = "<|assistant|>" if s == who else "<|system|>" if s == "system" else f"<|user name={s}|>"
             segments.append((f"{head}\n{x}<|end|>\n", f"{x}<|end|>" if s == who else None))
-        out[conv, who] = sorted(t for t, _ in segments), sorted(t for _, t in segments if t)
+        out[conv, who] = [t for t, _ in segments], [t for _, t in segments if t]
     return out
 
 
 def joined(found):
     out = {}
-    for r in found.orderBy("part", "slice").collect():
+    for r in found.orderBy("part").collect():
         text, learned = out.setdefault((r.conv_id, r.perspective), ([], []))
         text += [s + "<|end|>\n" for s in r.rendered.split("<|end|>\n")[:-1]]
         learned += [r.rendered[a:b] for a, b in r.loss_spans]
-    return {k: (sorted(a), sorted(b)) for k, (a, b) in out.items()}
+    return out
 
 
 def test_matches_brute_force(spark, monkeypatch):
@@ -40,24 +48,24 @@ def test_matches_brute_force(spark, monkeypatch):
     monkeypatch.setattr(views, "PART_ROWS", 10)
     small = views.perspective_views(frame, Workspace(spark, "t"))
     assert joined(small) == brute(turns)
-    assert small.agg({"n_turns": "max"}).first()[0] < 40
+    assert small.agg({"n_turns": "max"}).first()[0] == 10
 
 
-def test_a_large_part_without_conversation_is_cut(spark, monkeypatch):
+def test_a_large_dialogue_without_id_is_cut(spark):
     turns = [(None, k % 5 if k % 2 else None, "ab"[k % 3 % 2], f"call {k}") for k in range(400)]
-    monkeypatch.setattr(views, "PART_ROWS", 20)
     found = views.perspective_views(spark.createDataFrame(turns, SCHEMA), Workspace(spark, "t"))
-    assert found.agg({"n_turns": "max"}).first()[0] < 80 and joined(found) == brute(turns)
-
-
-def test_whole_parts_do_not_depend_on_the_cut(spark, rows, monkeypatch):
-    turns = [(c, 3 if k % 2 else k % 40, "abc"[k % 3], f"call {k}") for c in (1, None) for k in range(150)] + [(2, 0, "a", "x"), (2, 70, "b", "y")]
-    frame = spark.createDataFrame(turns, SCHEMA)
-    names = ["conv_id", "perspective", "part", "n_turns", "rendered", "loss_spans"]
-    uncut = rows(views.perspective_views(frame, Workspace(spark, "t")), *names)
-    monkeypatch.setattr(views, "PART_ROWS", 10)
-    cut = views.perspective_views(frame, Workspace(spark, "t"))
-    assert cut.count() > len(uncut) and rows(views.whole_parts(cut), *names) == uncut
+    assert joined(found) == brute(turns)
+    assert [r.n_turns for r in found.where("perspective = 'a'").orderBy("part").collect()] == [64] * 6 + [16]
+
+
+def test_long_turns_take_time_in_proportion(spark):
+    def seconds(count):
+        frame = spark.range(count).selectExpr("1L conv_id", "id turn", "'a' speaker", "repeat(cast(id as string), 5000) text")
+        begin = time.monotonic()
+        assert views.perspective_views(frame, Workspace(spark, "t")).selectExpr("sum(n_turns)", "sum(length(rendered))").first()[0] == count
+        return time.monotonic() - begin
+    seconds(10)
+    assert seconds(4000) < 30  # about 75 MB of text
 
 
 def test_order_within_a_view(spark):
