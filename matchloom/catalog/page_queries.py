@@ -9,9 +9,10 @@ from matchloom.catalog.registry import query
 from matchloom.functions import cells, dates, text
 from matchloom.operators import lifecycle as lc
 from matchloom.operators import pages as pg
+from matchloom.operators import paging
 from matchloom.operators.markup import staged
 from matchloom.operators.quality import split_errors
-from matchloom.session import spread
+from matchloom.session import settle, spread
 from matchloom.sources import adapter, render
 from matchloom.sources.tables import raw_table
 
@@ -174,6 +175,35 @@ def _(spark, sf):
     return pg.discover_links(render.results_pages(spread(adapter.matches(spark, sf), "match_id")), *_dates(), limit=50)
 
 
+# Sections of a page by falling date; the undated one stands first. The scan ends in the page of the newest day before the start.
+_LISTED = f"""
+    with placed as (select match_id, cast(date as date) as day, date_diff('day', cast(date as date), date '2030-01-01') // 5 * 1000000
+        + match_id // 20000 as page_id, match_id % 13 = 0 as undated from matches where date is not null),
+    found as (select *, cast(dense_rank() over (partition by page_id order by undated desc, case when not undated then day end desc) - 1 as integer) as section,
+        cast(row_number() over (partition by page_id, undated, case when not undated then day end order by match_id) - 1 as integer) as pos from placed),
+    hits as (select match_id, concat('https://example.test/matches/', match_id, '/a-vs-b') as match_url, page_id, section, pos
+      from found where not undated and day between date '{_START}' and date '{_END}'
+        and page_id <= coalesce((select min(page_id) from found where not undated and day < date '{_START}'), page_id))"""
+
+
+def _listing(spark, sf):
+    return settle(render.results_listing(adapter.matches(spark, sf)), "listing")
+
+
+@query("paged_discovery", f"""{_LISTED}
+    select match_id, match_url, page_id, section, pos, 'discovered' as status, 'results' as source from hits""", "matches")
+def _(spark, sf):
+    """All matches of a range of dates from pages with several sections; the scan ends with the first page that holds an older one."""
+    found = paging.scan_pages(_listing(spark, sf), *_dates(), empty_ends=False).links
+    return lc.discovery_rows(found, _now(), "results").select(*paging.LINK, "status", "source")
+
+
+@query("paged_discovery_cap", f"""{_LISTED}
+    select * from hits order by page_id, section, pos limit 1000""", "matches")
+def _(spark, sf):
+    return paging.scan_pages(_listing(spark, sf), *_dates(), limit=1000, empty_ends=False).links
+
+
 def _parsed_matches(spark, sf):
     return pg.parse_match_pages(render.match_pages(spread(adapter.matches(spark, sf), "match_id")), _now())
 

@@ -33,6 +33,28 @@ def results_pages(matches: DataFrame) -> DataFrame:
     return matches.select(F.col("match_id").alias("page_id"), F.lit("/results").alias("url"), html.alias("html"))
 
 
+def results_listing(matches: DataFrame, days: int = 5, ids: int = 20_000) -> DataFrame:
+    """Results pages with several dated sections, newest day first, so that page ids rise as dates fall.
+
+    A page holds the matches of ``days`` days whose ids lie in one run of ``ids`` ids. That is a few dozen links whatever the
+    number of matches, because ids are spread over the days. Matches whose id 13 divides stand
+    in an undated section at its head, and each section ends with a link that names no match.
+    """
+    age = F.datediff(F.lit("2030-01-01").cast("date"), F.col("date").cast("date")).cast("bigint")
+    page = F.floor(age / days) * 1_000_000 + F.floor(F.col("match_id") / ids)
+    undated = F.col("match_id") % 13 == 0
+    link = _join('<div class="result-con"><a href="/matches/', F.col("match_id"), '/a-vs-b">a</a></div>')
+    sections = matches.filter(F.col("date").isNotNull()).select(
+        page.alias("page_id"), F.when(undated, -1).otherwise(age).alias("age"),
+        F.when(undated, "Results for not-a-date").otherwise(headline(F.col("date"))).alias("head"), F.struct("match_id", link.alias("link")).alias("m")
+    ).groupBy("page_id", "age", "head").agg(F.array_sort(F.collect_list("m")).alias("found"))
+    html = _join('<div class="results-sublist"><div class="standard-headline">', F.col("head"), "</div>",
+                 F.array_join(F.transform("found", lambda m: m["link"]), ""), '<div class="result-con"><a href="/results/none">b</a></div></div>')
+    gathered = sections.groupBy("page_id").agg(F.array_sort(F.collect_list(F.struct("age", html.alias("html")))).alias("parts"))
+    body = F.array_join(F.transform("parts", lambda p: p["html"]), "")
+    return gathered.select("page_id", F.lit("/results").alias("url"), _join("<html><body>", body, "</body></html>").alias("html"))
+
+
 def match_pages(matches: DataFrame) -> DataFrame:
     """One page per match; every seventeenth lacks its event name."""
     best_of = F.when(F.col("match_type") == "bo1", "Best of 1").when(F.col("match_type") == "bo3", "Best of 3").otherwise("Best of 5")
