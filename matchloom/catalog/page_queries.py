@@ -187,7 +187,7 @@ _LISTED = f"""
 
 
 def _listing(spark, sf):
-    return settle(render.results_listing(adapter.matches(spark, sf)), "listing")
+    return settle(spread(render.results_listing(adapter.matches(spark, sf)), "page_id"), "listing")
 
 
 @query("paged_discovery", f"""{_LISTED}

@@ -19,7 +19,7 @@ needs_data = pytest.mark.skipif(not Path(SF).exists(), reason="no test data")
 # Each of these writes tables or runs a stream before it returns its result.
 WRITING = {"dq_suite_report", "dq_base_rules", "dq_grain_flow", "scd2_history", "snapshot_rerun", "fact_roster_asof", "stored_failures", "stream_state_replay",
            "stream_upsert", "ingest_match_pages", "mart_refresh", "page_snapshot_append", "page_snapshot_replay",
-           "paged_discovery", "paged_discovery_cap"}
+           "paged_discovery", "paged_discovery_cap", "page_chain", "map_page_stream", "ingest_map_pages"}
 
 
 def plan(df):
